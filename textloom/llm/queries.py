@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.llm import sharding
+from textloom.llm import sharding, urlfilter
 from textloom.runtime import read
 
 QUERIES = {}
@@ -22,3 +22,22 @@ def query(name: str, sql: str | None = None):
 @query("op2_hilbert_sharding")
 def op2(spark, sf_dir):
     return sharding.shard(read(spark, sf_dir, "documents"), 16)
+
+
+_HOST = "translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FITS = lambda key: f"((host = '{key.split('/')[0]}' OR ends_with(host, '.{key.split('/')[0]}')) AND starts_with(path, '/{key.partition('/')[2]}'))"
+
+
+@query(
+    "op3_bloom_cascade_urls",
+    f"""
+WITH p AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (SELECT page_id, {_HOST} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r AS (SELECT *, CASE {' '.join(f"WHEN {_FITS(key)} THEN '{key}'" for _, key in sorted(urlfilter.RULES, key=lambda r: -len(r[1])))} END AS rule FROM q)
+SELECT page_id, host, path, rule, CASE
+  {' '.join(f"WHEN rule = '{key}' THEN '{verdict}'" for verdict, key in urlfilter.RULES)}
+  WHEN {' OR '.join(f"host = '{h}' OR ends_with(host, '.{h}')" for h in urlfilter.LISTED_HOSTS)} THEN 'block' ELSE 'allow' END AS verdict
+FROM r""",
+)
+def op3(spark, sf_dir):
+    return urlfilter.judge(read(spark, sf_dir, "pages"))
