@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from textloom.llm import sharding, urlfilter
+import public_tokenizers
+
+from textloom.llm import bpe, sharding, urlfilter
 from textloom.runtime import read
 
 QUERIES = {}
@@ -41,3 +43,8 @@ FROM r""",
 )
 def op3(spark, sf_dir):
     return urlfilter.judge(read(spark, sf_dir, "pages"))
+
+
+@query("op6_prefix_bpe")
+def op6(spark, sf_dir):
+    return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
