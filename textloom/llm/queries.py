@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from textloom.llm import bpe, sharding, urlfilter
+from textloom.llm import bpe, brown, langid, sharding, urlfilter
 from textloom.runtime import read
 
 QUERIES = {}
@@ -48,3 +48,15 @@ def op3(spark, sf_dir):
 @query("op6_prefix_bpe")
 def op6(spark, sf_dir):
     return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op4_bigru_language")
+def op4(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+@query("op10_brown_classes")
+def op10(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return brown.score(docs, *brown.train(docs))
