@@ -10,6 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 PACKAGE = Path(__file__).resolve().parent
 
 
@@ -29,7 +30,12 @@ def session(cores: str = "*", partitions: int = 8) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that Arrow functions can import it there."""
+    """Send this package to the executors once per application, so that Arrow functions can import it there.
+
+    Batches for Python are bounded by their bytes, unless the session says otherwise: texts differ much in length.
+    """
+    if spark.conf.get(BATCH_BYTES, "-1") in ("-1", "67108864b"):
+        spark.conf.set(BATCH_BYTES, "16m")
     sc = spark.sparkContext
     if getattr(sc, "_textloom_shipped", False):
         return
