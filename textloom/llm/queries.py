@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from textloom.llm import bpe, brown, langid, sharding, urlfilter
+from textloom.llm import bpe, brown, langid, neardup, sharding, urlfilter
 from textloom.runtime import read
 
 QUERIES = {}
@@ -60,3 +60,8 @@ def op4(spark, sf_dir):
 def op10(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
     return brown.score(docs, *brown.train(docs))
+
+
+@query("op7_order_minhash")
+def op7(spark, sf_dir):
+    return neardup.classes(read(spark, sf_dir, "documents"))
