@@ -34,7 +34,7 @@ def ship(spark: SparkSession) -> None:
 
     Batches for Python are bounded by their bytes, unless the session says otherwise: texts differ much in length.
     """
-    if spark.conf.get(BATCH_BYTES, "-1") in ("-1", "67108864b"):
+    if spark.conf.get(BATCH_BYTES) == "67108864b":
         spark.conf.set(BATCH_BYTES, "16m")
     sc = spark.sparkContext
     if getattr(sc, "_textloom_shipped", False):
