@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from textloom.llm import bpe, brown, langid, neardup, sharding, urlfilter
+from textloom.llm import bpe, brown, embeddup, hashforest, langid, neardup, sharding, urlfilter
 from textloom.runtime import read
 
 QUERIES = {}
@@ -65,3 +65,14 @@ def op10(spark, sf_dir):
 @query("op7_order_minhash")
 def op7(spark, sf_dir):
     return neardup.classes(read(spark, sf_dir, "documents"))
+
+
+@query("op8_pca_tiles")
+def op8(spark, sf_dir):
+    return embeddup.classes(read(spark, sf_dir, "embeddings"))
+
+
+@query("op9_prefix_forest")
+def op9(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings")
+    return hashforest.search(rows.filter("vec_id % 20 = 0"), rows, 20)
