@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from textloom.llm import bpe, brown, embeddup, hashforest, langid, neardup, sharding, urlfilter
+from textloom.llm import bpe, brown, embeddup, hashforest, langid, licences, mixing, neardup, sharding, urlfilter
 from textloom.runtime import read
 
 QUERIES = {}
@@ -76,3 +76,14 @@ def op8(spark, sf_dir):
 def op9(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings")
     return hashforest.search(rows.filter("vec_id % 20 = 0"), rows, 20)
+
+
+@query("op1_soft_mixing")
+def op1(spark, sf_dir):
+    return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op5_licence_paragraphs")
+def op5(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
