@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import strip
+from textloom.runtime import materialize
 
 
 def first_wins(df: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
@@ -48,15 +49,17 @@ def clean_notes(notes: DataFrame, order: str = "pos") -> DataFrame:
 
 
 def dense_ids(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Numbers 0, 1, 2, ... by ``order``, without gathering the rows: range partitions, and the counts before each."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
-    counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    """Numbers 0, 1, 2, ... by ``order``, without gathering the rows: sorted ranges, and the counts before each.
+
+    The ranges are written once, so that numbers and counts come from the same cut.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = materialize(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    part, place = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = ranges.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return dealt.withColumn("_at", within).join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
+    return ranges.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + place).drop("_part", "_at", "_start")
 
 
 def document_frequency(df: DataFrame, doc: str, terms: Column, least: int = 2, most_words: int | None = None) -> DataFrame:
