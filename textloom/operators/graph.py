@@ -29,7 +29,9 @@ def within(edges: DataFrame, ends: dict[str, tuple[DataFrame, str]]) -> DataFram
 
 
 def no_loops(edges: DataFrame, src: str, dst: str) -> DataFrame:
-    return edges.filter((F.col(src) != "") & (F.col(dst) != "") & (F.col(src) != F.col(dst)))
+    for end in (src, dst):
+        edges = edges.filter(F.col(end).isNotNull() & (F.col(end).cast("string") != ""))
+    return edges.filter(F.col(src) != F.col(dst))
 
 
 def concepts(mrconso: DataFrame, order: str = "pos") -> DataFrame:
@@ -120,7 +122,7 @@ def universe(nodes: DataFrame, key: str, *references: DataFrame) -> DataFrame:
     """Known ids and those that edges refer to: a reference makes a bare node. Each reference has one column."""
     out = nodes.select(key)
     for r in references:
-        out = out.union(r.select(F.col(r.columns[0]).alias(key)).filter(F.col(key) != ""))
+        out = out.union(r.select(F.col(r.columns[0]).alias(key)).filter(F.col(key).isNotNull() & (F.col(key).cast("string") != "")))
     return out.distinct()
 
 
