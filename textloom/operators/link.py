@@ -153,7 +153,7 @@ def _written_back(texts: DataFrame, linked: DataFrame) -> DataFrame:
 def semantic(texts: DataFrame, concepts: DataFrame, least: float = 0.7) -> DataFrame:
     """entity_hash, text, cui, score: the nearest concept; below ``least`` the score stays and the cui is empty."""
     found = nearest(texts, concepts, "entity_hash", "cui", 1)
-    return texts.select("entity_hash", "text").join(found, "entity_hash", "left").select("entity_hash", "text", F.when(F.col("score") >= least, F.col("cui")).otherwise("").alias("cui"), "score")
+    return texts.select("entity_hash", "text").join(found, "entity_hash", "left").select("entity_hash", "text", F.when(F.col("score") >= least, F.col("cui").cast("string")).otherwise("").alias("cui"), "score")
 
 
 def hybrid(texts: DataFrame, names: DataFrame, concepts: DataFrame, least: float = 0.7) -> DataFrame:

@@ -51,10 +51,10 @@ def bm25_sql(queries: str, q: str, q_text: str, corpus: str, d: str, d_text: str
     ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, d) AS rn FROM sc)"""
 
 
-@query("bm25_top1", f"WITH {bm25_sql('benchmark', 'item_id', 'text', 'documents', 'doc_id', 'text')} SELECT q AS item_id, d AS doc_id, round(score, 4) AS score FROM ranked WHERE rn = 1")
+@query("bm25_top1", f"WITH {bm25_sql('benchmark', 'item_id', 'text', 'documents', 'doc_id', 'text')} SELECT q AS item_id, d AS doc_id, score FROM ranked WHERE rn = 1")
 def bm25_top1(spark, sf_dir):
     found = link.bm25(read(spark, sf_dir, "benchmark").withColumnRenamed("text", "q"), read(spark, sf_dir, "documents"), "item_id", "q", "doc_id", "text")
-    return found.select("item_id", "doc_id", F.round("score", 4).alias("score"))
+    return found.select("item_id", "doc_id", "score")
 
 
 COSINE = "round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / sqrt(list_inner_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) * list_inner_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 6)"
@@ -64,26 +64,26 @@ COSINE = "round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[])
     "knn_top1_threshold",
     f"""WITH s AS (SELECT a.vec_id AS q, b.vec_id AS d, {COSINE} AS score FROM embeddings a, embeddings b WHERE a.vec_id % 10 = 0 AND b.vec_id % 10 <> 0),
     r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, d) AS rn FROM s)
-    SELECT q AS vec_id, CASE WHEN score >= 0.4 THEN d::VARCHAR ELSE '' END AS cui, round(score, 4) AS score FROM r WHERE rn = 1""",
+    SELECT q AS vec_id, CASE WHEN score >= 0.4 THEN d::VARCHAR ELSE '' END AS cui, score FROM r WHERE rn = 1""",
 )
 def knn_top1_threshold(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
     texts = rows.filter("vec_id % 10 = 0").select(F.col("vec_id").alias("entity_hash"), F.lit("").alias("text"), "vector")
     found = link.semantic(texts, rows.filter("vec_id % 10 != 0").select(F.col("vec_id").alias("cui"), "vector"), 0.4)
-    return found.select(F.col("entity_hash").alias("vec_id"), F.col("cui").cast("string").alias("cui"), F.round("score", 4).alias("score"))
+    return found.select(F.col("entity_hash").alias("vec_id"), F.col("cui").cast("string").alias("cui"), "score")
 
 
 @query(
     "knn_topk_filtered",
     f"""WITH s AS (SELECT a.vec_id AS q, b.vec_id AS d, {COSINE} AS score FROM embeddings a, embeddings b WHERE a.vec_id < 50 AND b.label = 3 AND a.vec_id <> b.vec_id),
     r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, d) AS rn FROM s)
-    SELECT q AS query_id, d AS vec_id, rn::INT AS rank, round(score, 4) AS score FROM r WHERE rn <= 5""",
+    SELECT q AS query_id, d AS vec_id, rn::INT AS rank, score FROM r WHERE rn <= 5""",
 )
 def knn_topk_filtered(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
     asked = rows.filter("vec_id < 50").select(F.col("vec_id").alias("query_id"), "vector")
     found = link.nearest(asked, rows, "query_id", "vec_id", 5, where=F.col("label") == 3, exclude_self=True)
-    return found.select("query_id", "vec_id", "rank", F.round("score", 4).alias("score"))
+    return found.select("query_id", "vec_id", "rank", "score")
 
 
 CASCADE = f"""WITH t AS (SELECT substr(sha1(lower(trim(x))), 1, 16) AS entity_hash, min(trim(x)) AS text FROM
@@ -126,11 +126,11 @@ def _hybrid(spark, sf_dir):
 @query(
     "hybrid_cascade",
     f"""{HYBRID} SELECT q.entity_hash, CASE WHEN substr(q.entity_hash, 2)::INT % 3 = 0 THEN 'X' || substr(q.entity_hash, 2) WHEN r.score >= 0.4 THEN r.cui ELSE '' END AS cui,
-    CASE WHEN substr(q.entity_hash, 2)::INT % 3 = 0 THEN 1.0 WHEN r.score >= 0.4 THEN round(r.score, 4) ELSE 0.0 END::DOUBLE AS score
+    CASE WHEN substr(q.entity_hash, 2)::INT % 3 = 0 THEN 1.0 WHEN r.score >= 0.4 THEN r.score ELSE 0.0 END::DOUBLE AS score
     FROM q LEFT JOIN r ON r.entity_hash = q.entity_hash AND rn = 1""",
 )
 def hybrid_cascade(spark, sf_dir):
-    return _hybrid(spark, sf_dir).select("entity_hash", "cui", F.round("score", 4).alias("score"))
+    return _hybrid(spark, sf_dir).select("entity_hash", "cui", "score")
 
 
 @query(
@@ -164,9 +164,9 @@ def _senses_sql(odd: int, name: str) -> str:
     r{name} AS (SELECT vec_id, choice, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, choice) AS rn FROM s{name}) WHERE rn = 1)"""
 
 
-@query("wsd_argmax", f"WITH {_senses_sql(0, 'a')} SELECT vec_id, choice, round(score, 4) AS score FROM ra")
+@query("wsd_argmax", f"WITH {_senses_sql(0, 'a')} SELECT vec_id, choice, score FROM ra")
 def wsd_argmax(spark, sf_dir):
-    return _senses(spark, sf_dir, 0).withColumn("score", F.round("score", 4))
+    return _senses(spark, sf_dir, 0)
 
 
 HIGH, LOW, LEAST = 0.13, 0.09, 0.05

@@ -31,8 +31,8 @@ def dedup_cross_filed(spark, sf_dir):
 
 @query(
     "keyword_union",
-    """WITH t AS (SELECT p_brand, p_partkey, unnest(string_split(p_name, ' ')) AS tok, generate_subscripts(string_split(p_name, ' '), 1) AS at FROM part),
-    f AS (SELECT p_brand, lower(tok) AS k, arg_min(tok, p_partkey * 1000 + at) AS tok, min(p_partkey * 1000 + at) AS pl FROM t WHERE tok <> '' GROUP BY 1, 2)
+    """WITH t AS (SELECT p_brand, p_partkey, unnest(string_split(p_name, ' ')) AS tok, generate_subscripts(string_split(p_name, ' '), 1) AS pos FROM part),
+    f AS (SELECT p_brand, lower(tok) AS k, arg_min(tok, p_partkey * 1000 + pos) AS tok, min(p_partkey * 1000 + pos) AS pl FROM t WHERE tok <> '' GROUP BY 1, 2)
     SELECT p_brand, string_agg(tok, ', ' ORDER BY pl) AS tokens FROM f GROUP BY 1""",
 )
 def keyword_union(spark, sf_dir):
@@ -128,9 +128,6 @@ def abbrev_precedence(spark, sf_dir):
     return best.select("doc_id", "upper", "source", "expansion")
 
 
-EXPANDED = "part.p_name"
-
-
 @query(
     "abbrev_expand",
     """SELECT p_partkey, array_to_string(list_transform(string_split(p_name || ' ED/x', ' '), lambda w: CASE upper(w)
