@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.operators.chunks import surface_pattern
 from textloom.runtime import ship
@@ -80,7 +81,7 @@ def with_retries(call: Callable, tries: int = 5, wait: float = 0.25, longest: fl
 def encoded(df: DataFrame, text: str, load: Callable = HashingEncoder, name: str = "vector", batch: int = 256) -> DataFrame:
     """Adds a vector for each text. Texts of a batch are encoded by length, so that padding stays small."""
     ship(df.sparkSession)
-    at, fields = df.columns.index(text), df.schema.add(name, "array<float>")
+    at, fields = df.columns.index(text), T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.FloatType()))])
 
     def run(batches):
         encoder = load()
