@@ -103,3 +103,9 @@ def first_with_conflicts(df: DataFrame, key: str, value: str, order: str) -> Dat
     """Per key the first value and how many rows have another one."""
     firsts = first_wins(df, [key], order, [value]).withColumnRenamed(value, "_first")
     return df.join(firsts, key).groupBy(key).agg(F.first("_first").alias(value), F.sum((F.col(value) != F.col("_first")).cast("long")).alias("conflicts"))
+
+
+def sample_by_hash(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """n distinct rows, the same ones for a seed on every run."""
+    rows = df.distinct()
+    return rows.withColumn("_h", F.xxhash64(F.lit(seed), *rows.columns)).orderBy("_h", *rows.columns).limit(n).drop("_h")

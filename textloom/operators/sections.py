@@ -53,13 +53,17 @@ def split_paragraphs(docs: DataFrame, doc: str = "doc_id", text: str = "text") -
 
 def document_type(kind: str, types: str, explicit: dict[str, str], rules: list[dict]) -> Column:
     """The first rule, in order, of whose ``any_of`` a document has ``min_hits`` types; before all rules the explicit map."""
+    return document_type_of(F.col(kind), F.col(types), explicit, rules)
+
+
+def document_type_of(kind: Column, types: Column, explicit: dict[str, str], rules: list[dict]) -> Column:
     out = F.lit(None).cast("string")
     for rule in reversed(rules):
-        hits = F.size(F.array_intersect(F.col(types), F.array(*map(F.lit, sorted(rule["any_of"])))))
+        hits = F.size(F.array_intersect(types, F.array(*map(F.lit, sorted(rule["any_of"])))))
         out = F.when(hits >= rule.get("min_hits", 1), F.lit(rule["cui"])).otherwise(out)
     if explicit:
         named = F.create_map(*[F.lit(x) for kv in explicit.items() for x in kv])
-        out = F.coalesce(F.nullif(F.element_at(named, F.col(kind)), F.lit("")), out)
+        out = F.coalesce(F.nullif(F.element_at(named, kind), F.lit("")), out)
     return F.coalesce(out, F.lit(""))
 
 
