@@ -121,7 +121,8 @@ class Encoder:
         to_bytes = lambda s: bytes(letters[c] for c in s)
         self.ids: dict[bytes, int] = {to_bytes(t): i for t, i in model["vocab"].items()}
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.bytes_of = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
+        names = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
+        self.bytes_of = [names.get(i, b"") for i in range(max(names) + 1)]
         for t in self.special:
             self.ids.pop(t.encode(), None)
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
@@ -233,8 +234,8 @@ class Encoder:
             if odd % 2:
                 out.append(array("I", [self.special[part]]).tobytes())
                 continue
-            pieces = self.pieces.findall(part)
-            out += [self.young.get(p) or self._fetch(p) for p in pieces]
+            known = self.young.get  # stays right, if older, when the memories change
+            out += [known(p) or self._fetch(p) for p in self.pieces.findall(part)]
         return b"".join(out)
 
     def encode(self, text: str) -> array:
