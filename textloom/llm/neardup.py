@@ -2,17 +2,19 @@
 
 A document's k-mers are its runs of ``K`` = 5 words (lower-cased letters and digits), each labelled with its
 occurrence number. Each of ``SKETCHES`` seeds takes the ``TAKEN`` least hashed ones and keeps them in the order of the
-text; documents that share a sketch are candidates (Marcais et al. 2019). A candidate pair is a link if the best
+text (Marcais et al. 2019); documents that share two sketches whose seeds are next to each other, or next but one,
+are candidates: a passage that many documents share seldom gives them two. A candidate pair is a link if the best
 order-keeping alignment of its labelled k-mers, within the band that the threshold allows, matches M of them with
 M / (n + m - M) >= 0.8. Classes are the connected components of the links.
 
 Equal texts are one node from the start, so a group of copies costs as much as one text. In a bucket of up to
-``SMALL`` texts with an equal sketch every text is compared with every other. In a larger one each is compared with
-the bucket's first; texts that do not link to it stay in the bucket for a next round with the first 16 of them, then
-256, and so on until no bucket has two texts left, so none is ever dropped and the rounds are few.
+``SMALL`` texts with an equal key every text is compared with every other. In a larger one each is compared with
+the bucket's first, the text with the largest buckets in all: among copies that is the one they were made from. Texts
+that do not link to it are compared with each other in tiles of at most about ``BLOCK`` by ``BLOCK``, so none is ever
+dropped, and no pair becomes a row unless it links.
 
-A sketch with TAKEN = 3 is shared with a probability of about 0.5 at similarity 0.8, so a pair at the threshold is
-missed with a probability of 2e-6 at 20 sketches; see the tests for measured recall.
+A sketch with TAKEN = 3 is shared with a probability of about 0.5 at similarity 0.8, so of pairs just at the threshold
+6 in 10,000 have no two such sketches at 24 sketches, and far fewer above it; see the tests for measured recall.
 
 Cases: a null text is in a class of its own (every null row with the rows of its id); texts without a word are linked
 only to equal texts; texts of 1 to 4 words are one k-mer; ties of hashes go to the earlier place; repeated rows share
@@ -37,13 +39,15 @@ from textloom.runtime import materialize, ship
 
 K = 5
 SIMILARITY = 0.8
-SKETCHES = 20
+SKETCHES = 24
 TAKEN = 3
 #: Buckets with at most so many texts left give all their pairs, SMALL * (SMALL - 1) / 2 at most.
 SMALL = 8
+#: Texts in each side of a tile.
+BLOCK = 64
 LONG = 50_000
 WORDS = re.compile(r"\w+")
-_rng = np.random.default_rng(20)
+_rng = np.random.default_rng(24)
 SEEDS = _rng.integers(1, 1 << 63, (SKETCHES, 2), dtype=np.uint64) | np.uint64(1)
 POWERS = _rng.integers(1, 1 << 63, K, dtype=np.uint64) | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -111,6 +115,15 @@ def _sketches(grams: np.ndarray, start: int, stop: int) -> np.ndarray:
     return out
 
 
+def joint_keys(values: np.ndarray) -> np.ndarray:
+    """Keys of sketches taken two by two: each with the next and with the one after that."""
+    out = []
+    for step in (1, 2):
+        both = (values * _MIX + np.uint64(step)) ^ _mixed(np.roll(values, -step))
+        out.append(_mixed(both))
+    return np.concatenate(out)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """M / (n + m - M) of the best alignment within the band; 0 where a bound shows that it is below ``least``.
 
@@ -140,25 +153,27 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, node (a digest of the text; of the id for a null one), keys (sketches; none for a text without words)."""
+    """doc_id, node (a digest of the text; of the id for a null one), keys (of pairs of sketches; none for a text without words), size (k-mers)."""
     ship(docs.sparkSession)
 
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
-                nodes, keys = [], []
+                nodes, keys, sizes = [], [], []
                 for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
                     text = text.as_py()
                     if text is None:
                         nodes.append(b"\0" + repr(doc_id.as_py()).encode())
                         keys.append([])
+                        sizes.append(0)
                         continue
                     nodes.append(digest(text))
                     grams = kmers(text)
-                    keys.append(sketches(grams).view(np.int64).tolist() if len(grams) else [])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "keys"])
+                    sizes.append(len(grams))
+                    keys.append(joint_keys(sketches(grams)).view(np.int64).tolist() if len(grams) else [])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["doc_id", "node", "keys", "size"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node binary, keys array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node binary, keys array<long>, size long")
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -195,30 +210,73 @@ def grams_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """All links (a, b) between the distinct texts of ``rows``, as ``sketched`` gives them."""
-    one = rows.filter(F.size("keys") > 0).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"))
-    entries = one.select("node", "doc_id", F.explode("keys").alias("key"))
+    one = rows.filter(F.size("keys") > 0).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("size").alias("size"))
+    entries = one.select("node", "doc_id", "size", F.explode("keys").alias("key"))
     shared = materialize(entries.join(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"), "buckets")
     texts = materialize(grams_of(docs, shared.select("doc_id", "node").distinct()), "grams")
-    left, pivots = shared.select("key", "node", "n"), 1
-    found = tried = None
-    while True:
-        place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        first = left.withColumn("place", place).filter(F.col("place") <= max(pivots, SMALL)).filter((F.col("place") <= pivots) | (F.col("n") <= SMALL))
-        first = first.select("key", F.col("node").alias("pivot"))
-        meet = left.join(first, "key").filter(F.col("node") > F.col("pivot"))
-        pairs = meet.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        new = materialize(compared(pairs, texts), "found")
-        found = new if found is None else found.unionByName(new)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        # in larger buckets, the first ones have met all others, and what linked to one of them is done
-        large = left.filter(F.col("n") > SMALL)
-        done = large.join(first, "key").join(found.select(F.col("a").alias("pivot"), F.col("b").alias("node")), ["pivot", "node"]).select("key", "node").distinct()
-        rest = large.join(first.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").join(done, ["key", "node"], "left_anti").select("key", "node")
-        left = materialize(rest.join(rest.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"), "buckets")
-        if left.isEmpty():
-            return found
-        pivots *= 16
+    # a text that shares much with many comes first: in a group of copies that is the one they were made from
+    weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
+    left = shared.select("key", "node", "size", "n").join(weights, "node")
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "node"))
+    first = left.withColumn("place", place).filter(F.col("place") <= SMALL).filter((F.col("place") == 1) | (F.col("n") <= SMALL))
+    first = first.select("key", F.col("node").alias("pivot"), F.col("weight").alias("heavy"), F.col("size").alias("long"))
+    later = (F.col("weight") < F.col("heavy")) | (F.col("weight") == F.col("heavy")) & (F.col("node") > F.col("pivot"))
+    alike = F.least("size", "long") >= SIMILARITY * F.greatest("size", "long")  # others can't be links
+    pairs = materialize(left.join(first, "key").filter(later & alike).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    found = materialize(compared(pairs, texts), "found")
+    # in larger buckets, the first one has met all others, and what linked to it is done
+    large = left.filter(F.col("n") > SMALL).select("key", "node")
+    done = large.join(first.select("key", "pivot"), "key").join(found.select(F.col("a").alias("pivot"), F.col("b").alias("node")), ["pivot", "node"]).select("key", "node")
+    rest = large.join(first.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").join(done.distinct(), ["key", "node"], "left_anti")
+    rest = materialize(rest.join(rest.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"), "rest")
+    more = found.unionByName(tiled(rest, texts))
+    return more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def tiled(rest: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) among the texts of each bucket, found in tiles of BLOCK by BLOCK texts; a tile is one row.
+
+    A pair that the tile's links already connect is not compared. rest: key, node, n (texts of the bucket).
+    """
+    schema = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("grams", pa.binary())])
+
+    def pack(key, table):
+        nodes, grams = table.column("node").to_pylist(), table.column("grams").to_pylist()
+        sizes = np.array([len(g) // 8 for g in grams], np.int64)
+        return pa.table([[key[0].as_py()], [key[1].as_py()], [b"".join(nodes)], [sizes.tobytes()], [b"".join(grams)]], schema=schema)
+
+    dealt = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).select("key", "block", "node").join(texts, "node")
+    packed = materialize(dealt.groupBy("key", "block").applyInArrow(pack, "key long, block long, nodes binary, sizes binary, grams binary"), "packed")
+    side = lambda x: packed.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("block", "nodes", "sizes", "grams")])
+    both = side("a").join(side("b"), "key").filter("block_a <= block_b").select("block_a", "block_b", "nodes_a", "sizes_a", "grams_a", "nodes_b", "sizes_b", "grams_b")
+
+    def unpack(nodes: bytes, sizes: bytes, grams: bytes):
+        ends = np.cumsum(np.frombuffer(sizes, np.int64))
+        return [nodes[i : i + 16] for i in range(0, len(nodes), 16)], np.split(np.frombuffer(grams, np.uint64), ends[:-1])
+
+    def run(batches):
+        for batch in batches:
+            a, b = [], []
+            for r in range(batch.num_rows):
+                row = [batch.column(c)[r].as_py() for c in range(8)]
+                one, two = unpack(*row[2:5]), unpack(*row[5:8])
+                root = {n: n for n in (*one[0], *two[0])}
+
+                def find(n, root=root):
+                    while root[n] != n:
+                        root[n] = n = root[root[n]]
+                    return n
+
+                for i, x in enumerate(one[0]):
+                    for j in range(i + 1 if row[0] == row[1] else 0, len(two[0])):
+                        y = two[0][j]
+                        if find(x) != find(y) and aligned(one[1][i], two[1][j]) >= SIMILARITY:
+                            root[find(x)] = find(y)
+                            a.append(x)
+                            b.append(y)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return both.mapInArrow(run, "a binary, b binary")
 
 
 def classes(docs: DataFrame) -> DataFrame:
