@@ -123,7 +123,8 @@ def embed_step(w: Workspace, a) -> None:
 
 
 def windows_step(w: Workspace, a) -> None:
-    w.put("windows", chunks.pack_windows(w.get("sections"), "chunk_id", "text", a.budget, a.overlap).withColumnRenamed("chunk_id", "window_id"))
+    parts = w.get("sections").withColumnRenamed("chunk_id", "parent_chunk_id")
+    w.put("windows", chunks.pack_windows(parts, "parent_chunk_id", "text", a.budget, a.overlap))
 
 
 def terminology_step(w: Workspace, a) -> None:
