@@ -11,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom import runtime
+from textloom.functions.text import uuid5
 from textloom.operators import abbrev, chunks, clean, graph, link, models, sections
 from textloom.sources import readers, sinks
 
-# Namespaces of the ids of points.
-NAMESPACES = {"sentences": "6ba7b811-9dad-11d1-80b4-00c04fd430c8", "concepts": "6ba7b812-9dad-11d1-80b4-00c04fd430c8"}
+# Namespaces of the ids of points, one a collection.
+NAMESPACES = {
+    "sentences": "f2b3e841-3c5e-4e1f-a5c3-5a9a2b0e7f9d",
+    "windows": "6f3c0c2a-6c2c-4c9a-b9ea-0ea0d3f8f5a1",
+    "concepts": "b1010d55-2023-4e1f-9c3b-9a5b7e1f2a44",
+}
 
 
 class Workspace:
@@ -116,15 +121,14 @@ def sentences_step(w: Workspace, a) -> None:
 
 
 def embed_step(w: Workspace, a) -> None:
-    from textloom.functions.text import uuid5
-
     points = models.encoded(w.get("sentences"), "text").withColumn("id", uuid5(NAMESPACES["sentences"], "chunk_id"))
     w.put("sentence_points", graph.latest(points.withColumn("_v", F.lit(0)), ["id"], "_v").drop("_v"))
 
 
 def windows_step(w: Workspace, a) -> None:
     parts = w.get("sections").withColumnRenamed("chunk_id", "parent_chunk_id")
-    w.put("windows", chunks.pack_windows(parts, "parent_chunk_id", "text", a.budget, a.overlap))
+    rows = chunks.pack_windows(parts, "parent_chunk_id", "text", a.budget, a.overlap)
+    w.put("windows", rows.withColumn("id", uuid5(NAMESPACES["windows"], "chunk_id")))
 
 
 def terminology_step(w: Workspace, a) -> None:
@@ -146,7 +150,8 @@ def terminology_step(w: Workspace, a) -> None:
 
 
 def concept_index_step(w: Workspace, a) -> None:
-    w.put("concept_index", models.encoded(w.get("concepts").filter("coalesce(name, '') != ''"), "name"))
+    named = w.get("concepts").filter("coalesce(name, '') != ''").withColumn("id", uuid5(NAMESPACES["concepts"], "cui"))
+    w.put("concept_index", models.encoded(named, "name"))
 
 
 def load_notes_step(w: Workspace, a) -> None:
