@@ -85,3 +85,23 @@ def test_large_bucket_without_links_is_finished(spark):
         assert all(neardup.aligned(neardup.kmers(a), neardup.kmers(b)) < 0.8 for a, b in pairwise(texts))
     got = neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
     assert all(r.class_id == r.doc_id and r.n_links == 0 for r in got.collect())
+
+
+def test_copies_of_copies_in_a_large_group(spark):
+    rng = random.Random(11)
+    fresh = (f"n{i}" for i in range(10_000))
+
+    def changed(words, at):
+        return [next(fresh) if i in at else w for i, w in enumerate(words)]
+
+    docs = [[f"w{i}" for i in range(300)]]
+    for _ in range(30):
+        copy = changed(docs[0], {299})
+        docs += [copy, changed(copy, {1, *(rng.randrange(10 + 45 * i, 45 + 45 * i) for i in range(6))})]
+    texts = [" ".join(w) for w in docs]
+    with np.errstate(over="ignore"):
+        grams = [neardup.kmers(t) for t in texts]
+    assert all(neardup.aligned(grams[i], grams[i + 1]) >= 0.8 for i in range(1, 61, 2))
+    assert all(neardup.aligned(grams[0], grams[i]) < 0.8 for i in range(2, 61, 2))
+    got = neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.class_id for r in got} == {0}

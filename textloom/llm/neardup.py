@@ -9,9 +9,11 @@ M / (n + m - M) >= 0.8. Classes are the connected components of the links.
 
 Equal texts are one node from the start, so a group of copies costs as much as one text. In a bucket of up to
 ``SMALL`` texts with an equal key every text is compared with every other. In a larger one each is compared with
-the bucket's first, the text with the largest buckets in all: among copies that is the one they were made from. Texts
-that do not link to it are compared with each other in tiles of at most about ``BLOCK`` by ``BLOCK``, so none is ever
-dropped, and no pair becomes a row unless it links.
+the bucket's first (its pivot), the text with the largest buckets in all: among copies that is the one they were made
+from. Texts that do not link to it are compared with each other, and with those that do, in tiles of at most about
+``BLOCK`` by ``BLOCK``, so none is ever dropped, and no pair becomes a row unless it links. 1 - M / (n + m - M) obeys
+the triangle inequality (it is the insert-delete distance, scaled by Steinhaus), so a text can link to one of similarity
+s to the pivot only if its own similarity to the pivot is at least s - 0.2: others need no comparison.
 
 A sketch with TAKEN = 3 is shared with a probability of about 0.5 at similarity 0.8, so of pairs just at the threshold
 6 in 10,000 have no two such sketches at 24 sketches, and far fewer above it; see the tests for measured recall.
@@ -39,10 +41,14 @@ from textloom.runtime import materialize, ship
 
 K = 5
 SIMILARITY = 0.8
+#: A text less similar to the pivot can't link to one that links to the pivot.
+NEAR = 2 * SIMILARITY - 1
 SKETCHES = 24
 TAKEN = 3
 #: Buckets with at most so many texts left give all their pairs, SMALL * (SMALL - 1) / 2 at most.
 SMALL = 8
+#: For rounding where similarities are compared with each other.
+SLACK = 1e-9
 #: Texts in each side of a tile.
 BLOCK = 64
 LONG = 50_000
@@ -177,17 +183,19 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes that are links. texts: node, grams; one row a node."""
+    """a, b, wide, sim of the pairs of nodes with a similarity of SIMILARITY at least; of NEAR where ``wide``. texts: node, grams; one row a node."""
 
     def run(batches):
         for batch in batches:
-            keep = [aligned(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)) >= SIMILARITY for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            wide = batch.column(2).to_pylist()
+            sims = [aligned(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), NEAR if w else SIMILARITY) for w, x, y in zip(wide, batch.column(3), batch.column(4), strict=True)]
+            keep = [s >= (NEAR - SLACK if w else SIMILARITY) for w, s in zip(wide, sims, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sims, pa.float64())], ["a", "b", "wide", "sim"]).filter(pa.array(keep, pa.bool_()))
 
     left = texts.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
     right = texts.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
-    both = pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "ga", "gb")
-    return both.mapInArrow(run, "a binary, b binary")
+    both = pairs.select("a", "b", "wide").join(right, "b").join(left, "a").select("a", "b", "wide", "ga", "gb")
+    return both.mapInArrow(run, "a binary, b binary, wide boolean, sim double")
 
 
 def digest(text: str) -> bytes:
@@ -221,15 +229,17 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     first = left.withColumn("place", place).filter(F.col("place") <= SMALL).filter((F.col("place") == 1) | (F.col("n") <= SMALL))
     first = first.select("key", F.col("node").alias("pivot"), F.col("weight").alias("heavy"), F.col("size").alias("long"))
     later = (F.col("weight") < F.col("heavy")) | (F.col("weight") == F.col("heavy")) & (F.col("node") > F.col("pivot"))
-    alike = F.least("size", "long") >= SIMILARITY * F.greatest("size", "long")  # others can't be links
-    pairs = materialize(left.join(first, "key").filter(later & alike).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    found = materialize(compared(pairs, texts), "found")
+    wide = F.col("n") > SMALL
+    alike = F.least("size", "long") >= F.when(wide, NEAR - SLACK).otherwise(SIMILARITY) * F.greatest("size", "long")  # others can't be links
+    pairs = left.join(first, "key").filter(later & alike).groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.max(wide).alias("wide"))
+    scored = materialize(compared(materialize(pairs, "pairs"), texts), "scored")
+    found = scored.filter(F.col("sim") >= SIMILARITY).select("a", "b")
     # in larger buckets, the first one has met all others, and what linked to it is done
     large = left.filter(F.col("n") > SMALL).select("key", "node")
     done = large.join(first.select("key", "pivot"), "key").join(found.select(F.col("a").alias("pivot"), F.col("b").alias("node")), ["pivot", "node"]).select("key", "node")
     rest = large.join(first.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").join(done.distinct(), ["key", "node"], "left_anti")
     rest = materialize(rest.join(rest.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"), "rest")
-    more = found.unionByName(tiled(rest, texts))
+    more = found.unionByName(tiled(rest, texts)).unionByName(across(scored.filter("wide"), texts))
     return more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -279,6 +289,45 @@ def tiled(rest: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def across(scored: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (b, a) between texts that did not link to a pivot and texts that did, one at most for each b in a tile.
+
+    scored: a (the pivot), b, sim (NEAR at least). Each pivot's texts are compared once, whatever number of buckets
+    they share. The linked ones are of one class already, so a text is done with a tile once it links to one of them.
+    """
+    linked, reach = F.col("sim") >= SIMILARITY, 1 - SIMILARITY + SLACK
+    bounds = scored.groupBy("a").agg(F.min(F.when(linked, F.col("sim"))).alias("low"), F.max(F.when(~linked, F.col("sim"))).alias("high")).filter(F.col("low") <= F.col("high") + reach)
+    sides = scored.join(bounds, "a").filter((linked & (F.col("sim") <= F.col("high") + reach)) | (~linked & (F.col("sim") >= F.col("low") - reach)))
+    sides = materialize(sides.select("a", linked.alias("side"), F.col("b").alias("node"), "sim"), "sides")
+    counted = sides.join(sides.groupBy("a", "side").agg(F.count("*").alias("n")), ["a", "side"])
+    schema = pa.schema([("a", pa.binary()), ("side", pa.bool_()), ("nodes", pa.list_(pa.binary())), ("sims", pa.list_(pa.float64())), ("grams", pa.list_(pa.binary()))])
+
+    def pack(key, table):
+        return pa.table([[key[0].as_py()], [key[1].as_py()], *[[table.column(c).to_pylist()] for c in ("node", "sim", "grams")]], schema=schema)
+
+    dealt = counted.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).select("a", "side", "block", "node", "sim").join(texts, "node")
+    packed = materialize(dealt.groupBy("a", "side", "block").applyInArrow(pack, "a binary, side boolean, nodes array<binary>, sims array<double>, grams array<binary>"), "packed")
+    part = lambda x: packed.filter("side" if x == "a" else "not side").select("a", *[F.col(c).alias(f"{c}_{x}") for c in ("nodes", "sims", "grams")])
+    both = part("a").join(part("b"), "a").drop("a")
+
+    def run(batches):
+        for batch in batches:
+            a, b = [], []
+            for r in range(batch.num_rows):
+                ones, near, grams, others, far, grams_b = (batch.column(c)[r].as_py() for c in range(6))
+                grams = [np.frombuffer(g, np.uint64) for g in grams]
+                for y, sim, g in zip(others, far, grams_b, strict=True):
+                    g = np.frombuffer(g, np.uint64)
+                    for x, s, h in zip(ones, near, grams, strict=True):
+                        if s <= sim + reach and aligned(h, g) >= SIMILARITY:
+                            a.append(x)
+                            b.append(y)
+                            break
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return both.mapInArrow(run, "a binary, b binary")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, n_links (other texts linked directly), kept (the class's least id, one row of it)."""
     rows = materialize(sketched(docs), "sketched")
