@@ -178,3 +178,9 @@ def test_models(spark):
         return x
 
     assert models.with_retries(flaky, wait=0.001)(7) == 7
+
+
+def test_reachable_has_no_depth_limit(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(40, 0), (0, 5), (90, 91)], "src long, dst long").coalesce(1)
+    got = {r.id: r.depth for r in graph.reachable(edges, spark.createDataFrame([(0,)], "id long")).collect()}
+    assert got == {i: i if i < 5 else i - 4 for i in range(41)}

@@ -144,16 +144,17 @@ def note_layer(docs: DataFrame, sections: DataFrame, mentions: DataFrame) -> dic
     }
 
 
-def reachable(edges: DataFrame, start: DataFrame, src: str = "src", dst: str = "dst", most: int = 32) -> DataFrame:
+def reachable(edges: DataFrame, start: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """id, depth: nodes that a walk from ``start`` (id) reaches. Stops when a step adds none; an extension."""
-    found = start.select("id").distinct().withColumn("depth", F.lit(0))
-    front = found
-    for depth in range(1, most + 1):
+    found = front = materialize(start.select("id").distinct().withColumn("depth", F.lit(0)), "front")
+    depth = 0
+    while not front.isEmpty():
+        depth += 1
         step = front.join(edges, front["id"] == edges[src]).select(F.col(dst).alias("id")).distinct()
         front = materialize(step.join(found, "id", "left_anti").withColumn("depth", F.lit(depth)), "front")
-        if front.isEmpty():
-            break
         found = found.unionByName(front)
+        if depth % 16 == 0:
+            found = materialize(found, "found")  # so that the plan stays short, however deep
     return found
 
 
