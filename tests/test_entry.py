@@ -40,6 +40,14 @@ def test_query_without_sql_runs(spark, name):
     assert QUERIES[name](spark, SMALL).count() >= 0
 
 
+def test_core_queries_stay_without_the_optional_parts(monkeypatch):
+    def absent(name):
+        raise ModuleNotFoundError(name)
+
+    monkeypatch.setattr(__spark_entry__.importlib, "import_module", absent)
+    assert set(__spark_entry__.queries()) == set(QUERIES) and set(__spark_entry__.oracle_sql()) == set(ORACLES)
+
+
 def test_registry():
     assert set(QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

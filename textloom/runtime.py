@@ -48,9 +48,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. A local master has one of its own where it is unset."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or getattr(sc, "_textloom_root", None)
+    if not root and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not root:
         root = sc._textloom_root = "file://" + tempfile.mkdtemp(prefix="textloom-shared-")
     return root
@@ -76,5 +78,13 @@ def discard(*tables: DataFrame) -> None:
             target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
