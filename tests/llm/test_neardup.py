@@ -3,6 +3,7 @@ from collections import Counter
 from itertools import pairwise
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from textloom.llm import neardup
 from textloom.llm.components import components
@@ -56,26 +57,79 @@ def test_classes_against_all_pairs(spark):
     got = {r.doc_id: r for r in neardup.classes(table).collect()}
     with np.errstate(over="ignore"):
         grams = {i: neardup.kmers(t) for i, t, _ in rows if i is not None and t}
-    root = {i: i for i in grams}
+    want, degree = plain(grams)
+    assert {i: (got[i].class_id, got[i].n_links) for i in want} == {i: (want[i], degree[i]) for i in want}
+    assert got[9001].class_id == 9001 and got[9002].class_id == 9002 and got[9004].class_id == 9003 and got[9005].class_id == 9005
+    kept = neardup.keep_one(table)
+    assert kept.columns == table.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r.class_id for r in {r.class_id: r for r in got.values()}.values())
+    assert neardup.classes(table.limit(0)).count() == 0 and neardup.keep_one(table.limit(0)).count() == 0
+
+
+def plain(grams):
+    """Class and number of links to other texts of each id, from all pairs."""
+    ids = [i for i in grams if len(grams[i])]
+    root, others = {i: i for i in ids}, {i: set() for i in ids}
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    ids = [i for i in grams if len(grams[i])]
     for k, i in enumerate(ids):
         for j in ids[k + 1 :]:
             if neardup.aligned(grams[i], grams[j]) >= 0.8:
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
-    want = {i: find(i) for i in ids}
-    assert {i: got[i].class_id for i in ids} == want
-    assert got[9001].class_id == 9001 and got[9002].class_id == 9002 and got[9004].class_id == 9003 and got[9005].class_id == 9005
-    kept = neardup.keep_one(table)
-    assert kept.columns == table.columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter({r.class_id: 1 for r in got.values()})
-    assert neardup.classes(table.limit(0)).count() == 0
+                x, y = grams[i].tobytes(), grams[j].tobytes()
+                if x != y:
+                    others[i].add(y)
+                    others[j].add(x)
+    return {i: find(i) for i in ids}, {i: len(others[i]) for i in ids}
+
+
+def test_tile_counts_every_pair_once():
+    rng = np.random.default_rng(5)
+    with np.errstate(over="ignore"):
+        texts = [" ".join(edited(hot, e)) for hot in (prose(90), prose(60)) for e in rng.integers(0, 6, 25)]
+        texts += [" ".join(w[40:] + w[:40]) for w in [prose(80)]] + ["x y z " * 30, "x y z " * 28]
+        grams = [neardup.kmers(t) for t in texts]
+    n, side = len(grams), np.arange(len(grams)) % 2
+    link = np.array([[i != j and neardup.aligned(grams[i], grams[j]) >= 0.8 for j in range(n)] for i in range(n)])
+    counts, label = neardup.tile_links(grams, np.empty((n, 0), np.int64), np.zeros(n, np.int64))
+    assert counts.tolist() == link.sum(1).tolist() and all(label[i] == label[j] for i, j in zip(*np.nonzero(link), strict=True))
+    assert neardup.tile_links(grams, np.empty((n, 0), np.int64), side)[0].tolist() == (link & (side[:, None] != side[None, :])).sum(1).tolist()
+    earlier = np.stack([np.arange(n) // 4, -np.arange(n)], 1)
+    assert neardup.tile_links(grams, earlier, np.zeros(n, np.int64))[0].tolist() == (link & (earlier[:, None, 0] != earlier[None, :, 0])).sum(1).tolist()
+
+
+def test_links_of_large_groups_are_counted_exactly(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "TILE", 16)
+    docs = [edited(hot, 1) for hot in (prose(150), prose(90)) for _ in range(100)]
+    for _ in range(12):  # twelve copies, and two texts that are alike but not both like the copies
+        copy = prose(200)
+        docs += [edited(copy, 1) for _ in range(12)] + [edited(copy, 3), edited(copy, 5)]
+    texts = {i: " ".join(w) for i, w in enumerate(docs)}
+    with np.errstate(over="ignore"):
+        want, degree = plain({i: neardup.kmers(t) for i, t in texts.items()})
+    got = {r.doc_id: r for r in neardup.classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert {i: got[i].class_id for i in want} == want
+    missed = sum(degree.values()) - sum(r.n_links for r in got.values())
+    assert 0 <= missed <= 0.001 * sum(degree.values())  # pairs at the threshold that share no key
+    assert sum(degree.values()) > 10_000
+
+
+def test_rows_without_ids_and_clashing_names(spark):
+    words = prose(80)
+    rows = [(None, " ".join(words)), (None, " ".join(edited(words, 1))), (5, "one text"), (5, "another text"), (None, "third text"), (5, "one text"), (None, None), (7, None), (7, None), (8, None)]
+    table = spark.createDataFrame([(*r, i, "a", {"k": "v"}) for i, r in enumerate(rows)], "doc_id long, text string, node int, copy string, row map<string,string>")
+    got = neardup.keep_one(table)
+    assert got.columns == table.columns
+    kept = sorted(r.node for r in got.collect())
+    assert kept[1:] == [2, 3, 4, 6, 7, 9] and kept[0] in (0, 1)
+    again = neardup.keep_one(table.orderBy(F.desc("node")))
+    assert sorted(r.node for r in again.collect()) == kept
+    assert {r.n_links for r in neardup.classes(table).filter("doc_id is null").collect()} == {0, 1}
 
 
 def test_large_bucket_without_links_is_finished(spark):

@@ -7,22 +7,23 @@ are candidates: a passage that many documents share seldom gives them two. A can
 order-keeping alignment of its labelled k-mers, within the band that the threshold allows, matches M of them with
 M / (n + m - M) >= 0.8. Classes are the connected components of the links.
 
-Equal texts are one node from the start, so a group of copies costs as much as one text. In a bucket of up to
-``SMALL`` texts with an equal key every text is compared with every other. In a larger one each is compared with
-the bucket's first (its pivot), the text with the largest buckets in all: among copies that is the one they were made
-from. Texts that do not link to it are compared with each other, and with those that do, in tiles of at most about
-``BLOCK`` by ``BLOCK``, so none is ever dropped, and no pair becomes a row unless it links. 1 - M / (n + m - M) obeys
-the triangle inequality (it is the insert-delete distance, scaled by Steinhaus), so a text can link to one of similarity
-s to the pivot only if its own similarity to the pivot is at least s - 0.2: others need no comparison.
+Equal texts are one node from the start, so a group of copies costs as much as one text. The texts of one key are a
+bucket, whatever its size. It is dealt by hash into blocks of about ``TILE`` texts and ``TILE_KMERS`` k-mers, and every
+pair of blocks is a tile of its own, so no task holds a bucket. A tile compares all its pairs but those that share an
+earlier key, which the bucket of that key compares: every candidate pair is aligned exactly once, so links are counted
+exactly. A tile returns counts and a spanning forest, never pairs. Of buckets with the same texts only the earliest is
+kept, which that rule makes lossless.
 
 A sketch with TAKEN = 3 is shared with a probability of about 0.5 at similarity 0.8, so of pairs just at the threshold
 6 in 10,000 have no two such sketches at 24 sketches, and far fewer above it; see the tests for measured recall.
+The alignment matches k-mers of the same occurrence number: where an early repeat is taken out all later ones are
+numbered anew, and M is then a lower bound of the alignment without numbers.
 
-Cases: a null text is in a class of its own (every null row with the rows of its id); texts without a word are linked
+Cases: null texts link with nothing, and those of one id (or of none) are one text; texts without a word are linked
 only to equal texts; texts of 1 to 4 words are one k-mer; ties of hashes go to the earlier place; repeated rows share
-a class; a class is named by its least doc_id; a text whose rows all have a null id is linked only to equal texts; ids are
-taken to name rows, so rows of one id and one text are copies; an empty table gives an empty result; other columns
-are not read.
+a class; rows with a null id are compared like all others; a class is named by its least doc_id, null if all are; rows of
+one id and one text are one document, rows of one id and different texts are documents of their own; texts of any
+length are read whole; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,20 +38,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.components import components
-from textloom.runtime import materialize, ship
+from textloom.runtime import discard, materialize, ship, unused
 
 K = 5
 SIMILARITY = 0.8
-#: A text less similar to the pivot can't link to one that links to the pivot.
-NEAR = 2 * SIMILARITY - 1
 SKETCHES = 24
 TAKEN = 3
-#: Buckets with at most so many texts left give all their pairs, SMALL * (SMALL - 1) / 2 at most.
-SMALL = 8
-#: For rounding where similarities are compared with each other.
-SLACK = 1e-9
-#: Texts in each side of a tile.
-BLOCK = 64
+#: Texts and k-mers in each side of a tile, in expectation; a longer text is a block of its own.
+TILE = 2048
+TILE_KMERS = 1_000_000
 LONG = 50_000
 WORDS = re.compile(r"\w+")
 _rng = np.random.default_rng(24)
@@ -130,217 +126,204 @@ def joint_keys(values: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def rising(places: np.ndarray) -> int:
+    """The length of the longest rising run within ``places``, by patience sorting."""
+    if len(places) < 2 or (places[1:] > places[:-1]).all():
+        return len(places)
+    tails: list[int] = []
+    for p in places.tolist():
+        i = bisect_left(tails, p)
+        tails[i : i + 1] = [p]
+    return len(tails)
+
+
 def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """M / (n + m - M) of the best alignment within the band; 0 where a bound shows that it is below ``least``.
 
-    Labelled k-mers occur once in a text, so an alignment is a rising run of matched places: their longest one is
-    found by patience sorting. With at most d unmatched k-mers on each side, matches stay within d of the diagonal.
+    Labelled k-mers occur once in a text, so an alignment is a rising run of matched places. With at most d unmatched
+    k-mers on each side, matches stay within d of the diagonal.
     """
     n, m = len(a), len(b)
     if not n or not m or min(n, m) < least * max(n, m):
         return 0.0
     _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     need = least / (1 + least) * (n + m)
-    band = int(max(n, m) - need) + 1
-    near = np.abs(at_a - at_b) <= band
+    near = np.abs(at_a - at_b) <= int(max(n, m) - need) + 1
     if near.sum() < need - 1e-9:
         return 0.0
-    order = np.argsort(at_a[near])
-    places = at_b[near][order]
-    if len(places) < 2 or (places[1:] > places[:-1]).all():
-        matched = len(places)
-    else:
-        tails: list[int] = []
-        for p in places.tolist():
-            i = bisect_left(tails, p)
-            tails[i : i + 1] = [p]
-        matched = len(tails)
+    matched = rising(at_b[near][np.argsort(at_a[near])])
     return matched / (n + m - matched)
 
 
+def tile_links(grams: list[np.ndarray], earlier: np.ndarray, side: np.ndarray, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """(links of each text, least text that it reaches) among the pairs of a tile that share no earlier key.
+
+    side: 0 or 1; if both occur, only texts of different sides are compared. earlier: a row of keys for each text.
+    Places of a text's k-mers are written down by k-mer, and those of all its partners looked up there at once; only
+    a partner whose matches are out of order is aligned by itself.
+    """
+    sizes = np.fromiter(map(len, grams), np.int64, len(grams))
+    ends = np.cumsum(sizes)
+    words, ids = np.unique(np.concatenate(grams), return_inverse=True)
+    place, mixed = np.full(len(words), -1, np.int64), 0 < side.sum() < len(side)
+    counts, label = np.zeros(len(grams), np.int64), np.arange(len(grams))
+    for x, n in enumerate(sizes.tolist()):
+        others = np.flatnonzero(side > side[x]) if mixed else np.arange(x + 1, len(grams))
+        others = others[np.minimum(sizes[others], n) >= least * np.maximum(sizes[others], n)]
+        if earlier.shape[1] and len(others):
+            others = others[~(earlier[others] == earlier[x]).any(1)]
+        if not len(others):
+            continue
+        own = ids[ends[x] - n : ends[x]]
+        place[own] = np.arange(n)
+        lengths = sizes[others]
+        there = np.concatenate([ids[ends[y] - sizes[y] : ends[y]] for y in others.tolist()])
+        which, at = np.repeat(np.arange(len(others)), lengths), np.arange(len(there)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        there = place[there]
+        need = least / (1 + least) * (n + lengths)
+        near = (there >= 0) & (np.abs(there - at) <= (np.maximum(n, lengths) - need).astype(np.int64)[which] + 1)
+        there, which = there[near], which[near]
+        matched = np.bincount(which, minlength=len(others))
+        for y in np.unique(which[1:][(which[1:] == which[:-1]) & (there[1:] < there[:-1])]).tolist():
+            if matched[y] >= need[y] - 1e-9:
+                matched[y] = rising(there[which == y])
+        found = others[matched / (n + lengths - matched) >= least]
+        place[own] = -1
+        if len(found):
+            counts[x] += len(found)
+            counts[found] += 1
+            joined = np.unique(label[np.append(found, x)])
+            if len(joined) > 1:
+                label[np.isin(label, joined)] = joined[0]
+    return counts, label
+
+
+def node():
+    """A digest of the text; of the id for a null text."""
+    return F.coalesce(F.unhex(F.md5("text")), F.concat(F.lit(bytearray(1)), F.coalesce(F.encode(F.col("doc_id").cast("string"), "UTF-8"), F.lit(bytearray()))))
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, node (a digest of the text; of the id for a null one), keys (of pairs of sketches; none for a text without words), size (k-mers)."""
+    """doc_id, node, keys (of pairs of sketches; none for a text without words), size (k-mers)."""
     ship(docs.sparkSession)
 
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
-                nodes, keys, sizes = [], [], []
-                for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                    text = text.as_py()
-                    if text is None:
-                        nodes.append(b"\0" + repr(doc_id.as_py()).encode())
-                        keys.append([])
-                        sizes.append(0)
-                        continue
-                    nodes.append(digest(text))
-                    grams = kmers(text)
+                keys, sizes = [], []
+                for text in batch.column(1):
+                    grams = kmers(text.as_py())
                     sizes.append(len(grams))
-                    keys.append(joint_keys(sketches(grams)).view(np.int64).tolist() if len(grams) else [])
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sizes, pa.int64())], ["doc_id", "node", "keys", "size"])
+                    keys.append(joint_keys(sketches(grams)).view(np.int64) if len(grams) else np.empty(0, np.int64))
+                held = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), held, pa.array(sizes, pa.int64())], ["doc_id", "node", "keys", "size"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, node binary, keys array<long>, size long")
-
-
-def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, wide, sim of the pairs of nodes with a similarity of SIMILARITY at least; of NEAR where ``wide``. texts: node, grams; one row a node."""
-
-    def run(batches):
-        for batch in batches:
-            wide = batch.column(2).to_pylist()
-            sims = [aligned(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), NEAR if w else SIMILARITY) for w, x, y in zip(wide, batch.column(3), batch.column(4), strict=True)]
-            keep = [s >= (NEAR - SLACK if w else SIMILARITY) for w, s in zip(wide, sims, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sims, pa.float64())], ["a", "b", "wide", "sim"]).filter(pa.array(keep, pa.bool_()))
-
-    left = texts.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
-    right = texts.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
-    both = pairs.select("a", "b", "wide").join(right, "b").join(left, "a").select("a", "b", "wide", "ga", "gb")
-    return both.mapInArrow(run, "a binary, b binary, wide boolean, sim double")
-
-
-def digest(text: str) -> bytes:
-    return hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).digest()
+    return docs.select("doc_id", "text", node().alias("node")).mapInArrow(run, "doc_id long, node binary, keys array<long>, size long")
 
 
 def grams_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node, grams (the k-mers as bytes), one row for each wanted node. wanted: doc_id, node."""
+    """node, grams (the k-mers as bytes), one row for each wanted node. wanted: doc_id (one that has the text), node."""
 
     def run(batches):
         with np.errstate(over="ignore"):
             for batch in batches:
                 for i in range(0, batch.num_rows, 256):
-                    nodes, texts = (batch.slice(i, 256).column(k).to_pylist() for k in (0, 1))
-                    got = [(n, kmers(t).tobytes()) for n, t in zip(nodes, texts, strict=True) if t is not None and digest(t) == n]
-                    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in got], pa.binary()) for k in (0, 1)], ["node", "grams"])
+                    part = batch.slice(i, 256)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([kmers(t.as_py()).tobytes() for t in part.column(1)], pa.binary())], ["node", "grams"])
 
-    return docs.select("doc_id", "text").join(wanted, "doc_id").select("node", "text").mapInArrow(run, "node binary, grams binary").dropDuplicates(["node"])
+    rows, asked = docs.select("doc_id", "text", node().alias("node")), wanted.select(F.col("doc_id").alias("id"), F.col("node").alias("n"))
+    found = rows.join(asked, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    return found.select("node", "text").mapInArrow(run, "node binary, grams binary").dropDuplicates(["node"])
 
 
 def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """All links (a, b) between the distinct texts of ``rows``, as ``sketched`` gives them."""
+    """(node, n, root): of texts that link in a tile, to how many there, and the first text of their part of its graph.
+
+    rows: as ``sketched`` gives them.
+    """
     one = rows.filter(F.size("keys") > 0).groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("keys").alias("keys"), F.first("size").alias("size"))
-    entries = one.select("node", "doc_id", "size", F.explode("keys").alias("key"))
+    entries = one.select("node", "doc_id", "size", F.posexplode("keys").alias("at", "key"))
     shared = materialize(entries.join(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"), "buckets")
     texts = materialize(grams_of(docs, shared.select("doc_id", "node").distinct()), "grams")
-    # a text that shares much with many comes first: in a group of copies that is the one they were made from
-    weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
-    left = shared.select("key", "node", "size", "n").join(weights, "node")
-    place = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "node"))
-    first = left.withColumn("place", place).filter(F.col("place") <= SMALL).filter((F.col("place") == 1) | (F.col("n") <= SMALL))
-    first = first.select("key", F.col("node").alias("pivot"), F.col("weight").alias("heavy"), F.col("size").alias("long"))
-    later = (F.col("weight") < F.col("heavy")) | (F.col("weight") == F.col("heavy")) & (F.col("node") > F.col("pivot"))
-    wide = F.col("n") > SMALL
-    alike = F.least("size", "long") >= F.when(wide, NEAR - SLACK).otherwise(SIMILARITY) * F.greatest("size", "long")  # others can't be links
-    pairs = left.join(first, "key").filter(later & alike).groupBy(F.col("pivot").alias("a"), F.col("node").alias("b")).agg(F.max(wide).alias("wide"))
-    scored = materialize(compared(materialize(pairs, "pairs"), texts), "scored")
-    found = scored.filter(F.col("sim") >= SIMILARITY).select("a", "b")
-    # in larger buckets, the first one has met all others, and what linked to it is done
-    large = left.filter(F.col("n") > SMALL).select("key", "node")
-    done = large.join(first.select("key", "pivot"), "key").join(found.select(F.col("a").alias("pivot"), F.col("b").alias("node")), ["pivot", "node"]).select("key", "node")
-    rest = large.join(first.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").join(done.distinct(), ["key", "node"], "left_anti")
-    rest = materialize(rest.join(rest.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"), "rest")
-    more = found.unionByName(tiled(rest, texts)).unionByName(across(scored.filter("wide"), texts))
-    return more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def tiled(rest: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) among the texts of each bucket, found in tiles of BLOCK by BLOCK texts; a tile is one row.
-
-    A pair that the tile's links already connect is not compared. rest: key, node, n (texts of the bucket).
-    """
-    schema = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("grams", pa.binary())])
-
-    def pack(key, table):
-        nodes, grams = table.column("node").to_pylist(), table.column("grams").to_pylist()
-        sizes = np.array([len(g) // 8 for g in grams], np.int64)
-        return pa.table([[key[0].as_py()], [key[1].as_py()], [b"".join(nodes)], [sizes.tobytes()], [b"".join(grams)]], schema=schema)
-
-    dealt = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).select("key", "block", "node").join(texts, "node")
-    packed = materialize(dealt.groupBy("key", "block").applyInArrow(pack, "key long, block long, nodes binary, sizes binary, grams binary"), "packed")
-    side = lambda x: packed.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("block", "nodes", "sizes", "grams")])
-    both = side("a").join(side("b"), "key").filter("block_a <= block_b").select("block_a", "block_b", "nodes_a", "sizes_a", "grams_a", "nodes_b", "sizes_b", "grams_b")
-
-    def unpack(nodes: bytes, sizes: bytes, grams: bytes):
-        ends = np.cumsum(np.frombuffer(sizes, np.int64))
-        return [nodes[i : i + 16] for i in range(0, len(nodes), 16)], np.split(np.frombuffer(grams, np.uint64), ends[:-1])
+    prints = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"print{i}") for i in (1, 2)]
+    sets = shared.groupBy("key").agg(F.first("n").alias("n"), F.min("at").alias("at"), F.sum("size").alias("kmers"), *prints)
+    kept = sets.groupBy("n", "print1", "print2").agg(F.min_by(F.struct("key", "at", "kmers"), F.struct("at", "key")).alias("kept")).select("n", "kept.*")
+    blocks = F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("kmers") / TILE_KMERS)).cast("int")
+    dealt = shared.select("key", "node").join(kept.select("key", "at", blocks.alias("blocks")), "key")
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), F.col("block").alias("own"), "at", "node")
+    keyed = tiles.join(texts.join(one.select("node", "keys"), "node"), "node").select("key", "low", "high", "own", "node", F.slice("keys", F.lit(1), F.col("at")).alias("earlier"), "grams")
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = keyed.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+    out = materialize(spread.mapInArrow(_compare, "node binary, n long, root binary"), "tiles")
+    discard(shared, texts)
+    return out
 
-    def run(batches):
-        for batch in batches:
-            a, b = [], []
-            for r in range(batch.num_rows):
-                row = [batch.column(c)[r].as_py() for c in range(8)]
-                one, two = unpack(*row[2:5]), unpack(*row[5:8])
-                root = {n: n for n in (*one[0], *two[0])}
-
-                def find(n, root=root):
-                    while root[n] != n:
-                        root[n] = n = root[root[n]]
-                    return n
-
-                for i, x in enumerate(one[0]):
-                    for j in range(i + 1 if row[0] == row[1] else 0, len(two[0])):
-                        y = two[0][j]
-                        if find(x) != find(y) and aligned(one[1][i], two[1][j]) >= SIMILARITY:
-                            root[find(x)] = find(y)
-                            a.append(x)
-                            b.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
-    return both.mapInArrow(run, "a binary, b binary")
-
-
-def across(scored: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (b, a) between texts that did not link to a pivot and texts that did, one at most for each b in a tile.
-
-    scored: a (the pivot), b, sim (NEAR at least). Each pivot's texts are compared once, whatever number of buckets
-    they share. The linked ones are of one class already, so a text is done with a tile once it links to one of them.
-    """
-    linked, reach = F.col("sim") >= SIMILARITY, 1 - SIMILARITY + SLACK
-    bounds = scored.groupBy("a").agg(F.min(F.when(linked, F.col("sim"))).alias("low"), F.max(F.when(~linked, F.col("sim"))).alias("high")).filter(F.col("low") <= F.col("high") + reach)
-    sides = scored.join(bounds, "a").filter((linked & (F.col("sim") <= F.col("high") + reach)) | (~linked & (F.col("sim") >= F.col("low") - reach)))
-    sides = materialize(sides.select("a", linked.alias("side"), F.col("b").alias("node"), "sim"), "sides")
-    counted = sides.join(sides.groupBy("a", "side").agg(F.count("*").alias("n")), ["a", "side"])
-    schema = pa.schema([("a", pa.binary()), ("side", pa.bool_()), ("nodes", pa.list_(pa.binary())), ("sims", pa.list_(pa.float64())), ("grams", pa.list_(pa.binary()))])
 
-    def pack(key, table):
-        return pa.table([[key[0].as_py()], [key[1].as_py()], *[[table.column(c).to_pylist()] for c in ("node", "sim", "grams")]], schema=schema)
+def _compare(batches):
+    """Tiles in a row: a tile's rows stand together, over batches as they come."""
+
+    def done(table: pa.Table):
+        table = table.combine_chunks()
+        nodes, grams = table.column("node").to_pylist(), [np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams")]
+        earlier = table.column("earlier").combine_chunks()
+        keys = earlier.flatten().to_numpy(zero_copy_only=False).reshape(len(nodes), -1)
+        own = table.column("own").to_numpy()
+        counts, label = tile_links(grams, keys, (own != table.column("low")[0].as_py()).astype(np.int64))
+        some = np.flatnonzero(counts)
+        return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in some], pa.binary()), pa.array(counts[some]), pa.array([nodes[i] for i in label[some]], pa.binary())], ["node", "n", "root"])
+
+    held: list = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        marks = np.stack([batch.column(c).to_numpy() for c in range(3)])
+        starts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1
+        first = [held[-1].column(c)[-1].as_py() for c in range(3)] if held else None
+        cuts = [0, *starts.tolist(), batch.num_rows]
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            if held and (start or marks[:, 0].tolist() != first):
+                yield done(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(start, stop - start))
+    if held:
+        yield done(pa.Table.from_batches(held))
+
+
+def classed(docs: DataFrame) -> DataFrame:
+    """doc_id, node, root (the class), n_links of every row."""
+    rows = materialize(sketched(docs), "sketched")
+    tiles = links(docs, rows)
+    roots = components(tiles.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    degree = tiles.groupBy("node").agg(F.sum("n").alias("n_links"))
+    linked = materialize(degree.join(roots, "node"), "roots")
+    discard(tiles)
+    return rows.select("doc_id", "node").join(linked, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
-    dealt = counted.withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))).select("a", "side", "block", "node", "sim").join(texts, "node")
-    packed = materialize(dealt.groupBy("a", "side", "block").applyInArrow(pack, "a binary, side boolean, nodes array<binary>, sims array<double>, grams array<binary>"), "packed")
-    part = lambda x: packed.filter("side" if x == "a" else "not side").select("a", *[F.col(c).alias(f"{c}_{x}") for c in ("nodes", "sims", "grams")])
-    both = part("a").join(part("b"), "a").drop("a")
 
-    def run(batches):
-        for batch in batches:
-            a, b = [], []
-            for r in range(batch.num_rows):
-                ones, near, grams, others, far, grams_b = (batch.column(c)[r].as_py() for c in range(6))
-                grams = [np.frombuffer(g, np.uint64) for g in grams]
-                for y, sim, g in zip(others, far, grams_b, strict=True):
-                    g = np.frombuffer(g, np.uint64)
-                    for x, s, h in zip(ones, near, grams, strict=True):
-                        if s <= sim + reach and aligned(h, g) >= SIMILARITY:
-                            a.append(x)
-                            b.append(y)
-                            break
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
-    return both.mapInArrow(run, "a binary, b binary")
+def classes(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id, n_links (other texts linked directly), kept (the document that stands for the class)."""
+    named = classed(docs)
+    names = named.groupBy("root").agg(first_of_class())
+    return named.join(names, "root").select("doc_id", F.col("first.doc_id").alias("class_id"), "n_links", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node"))).alias("kept"))
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, n_links (other texts linked directly), kept (the class's least id, one row of it)."""
-    rows = materialize(sketched(docs), "sketched")
-    found = materialize(links(docs, rows), "links")
-    roots = components(found)
-    degree = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    linked = materialize(roots.join(degree, "node"), "roots")
-    named = rows.select("doc_id", "node").join(linked, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    names = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return named.join(names, "root").select("doc_id", "class_id", "n_links", F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()).alias("kept"))
+def first_of_class():
+    """The least id that is not null, and of its texts the one with the least digest."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each class, with all columns of ``docs``; rows of one id count as one document."""
-    first = classes(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_kept"]), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each class, with all columns of ``docs``, whatever their names.
+
+    It is the row with the class's least id; null ids come last, so a class of them keeps one too. Of rows with one id
+    and one text, the least by its other columns stays.
+    """
+    key, row = unused(docs, "copy"), unused(docs, "row")
+    of = F.concat(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "UTF-8"), F.lit(bytearray(1)))
+    first = classed(docs).groupBy("root").agg(first_of_class()).select("first.doc_id", "first.node").select(F.concat(of, "node").alias(key))
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    one = docs.withColumn(key, F.concat(of, node())).join(first, key, "left_semi")
+    order = F.to_json(F.struct(*others)) if others else F.lit("")
+    return one.groupBy(key).agg(F.min_by(F.struct(*docs.columns), order).alias(row)).select(f"{row}.*")
