@@ -7,18 +7,23 @@ nonnegative rates r, one a document, are fitted so that the expected token total
     sum over documents of r * tokens * posterior,
 
 meet the targets: least squares by projected gradient. In the metric that weighs a document by its tokens a gradient
-step adds the same K-vector's product with every posterior, and the projection stays one of each rate by itself, so
-rates are a function of the posterior and the K residuals of each round: a round is one aggregation over the table
-and K sums reach the driver. Steps are accelerated; rounds end when the totals stay within ``CLOSE`` of the targets or
-stop improving, ``ROUNDS`` at most.
+is the same K residuals' product with every posterior, and the projection stays one of each rate by itself. So the
+gradients of all rounds add up to K numbers, and a rate is the projection of its start plus their product with the
+posterior: no round writes anything, and a round is one aggregation of K totals and the K x K moments of the rates
+that are free. Each gradient is scaled by the inverse of these moments, which makes rounds few, and halved until the
+objective falls. A pull towards the start of ``PULL`` of the tokens picks, of all rates that meet the targets, those
+nearest to the start, and gives targets that can't be met the least squares. Rounds end where the scaled gradient is
+below ``CLOSE`` of the tokens; ``rates`` returns targets and totals reached, and raises if ``ROUNDS`` don't suffice.
 
 A rate is how many times a document should be read; ``copies`` rounds it, up with the probability of its fraction, by
-a hash of the id, so that a rerun gives the same.
-
-Cases: a null text or one without a word has no tokens, so it can't move a total: its rate is the starting one; labels
-without a document, or null, are not learned from; without labelled rows every posterior is even; a domain that no
-document can belong to leaves its target unmet; equal rows get equal rates; an empty table gives an empty result;
-other columns are not read.
+a hash of the id and length, so that a rerun gives the same.
+
+Cases: a null text or one without a word has no tokens, so it can't move a total: its rate still follows its
+posterior; labels without a document, or null, are not learned from; of different labels for one id the more toxic,
+then the lower counts; without labelled rows every posterior is even; a domain that no document can belong to leaves
+its target unmet; equal rows get equal rates; texts of any length are read whole; rows with a null or repeated id are
+rows of their own; an empty table gives an empty result; other columns are not read, and ``mixed`` returns them
+whatever their names.
 """
 
 from __future__ import annotations
@@ -42,7 +47,7 @@ SAMPLE_CHARS = 40_000_000
 VOCABULARY = 1_000
 EPOCHS = 12
 ROUNDS = 60
-CLOSE = 1e-4
+CLOSE, PULL = 1e-9, 1e-8
 SHAPES = 10
 WORD = re.compile(r"\w+")
 
@@ -110,7 +115,7 @@ def train(docs: DataFrame, labels: DataFrame) -> bytes:
     """The pickled classifier, from a bounded, hash-chosen sample of the labelled documents."""
     ship(docs.sparkSession)
     domain = F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 1, 0).when(F.col("quality") == 0, 1)
-    marked = labels.select("doc_id", domain.alias("domain")).dropna().groupBy("doc_id").agg(F.min("domain").alias("domain"))
+    marked = labels.select("doc_id", domain.alias("domain")).dropna().groupBy("doc_id").agg(F.max("domain").alias("domain"))
     counts = {r["domain"]: r["n"] for r in marked.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return pickle.dumps(None)
@@ -130,12 +135,16 @@ def _loaded(model: bytes) -> Classifier | None:
     return pickle.loads(model)
 
 
-def posteriors(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id, n_tokens, and p_<domain> of each."""
+P = [f"p_{d}" for d in DOMAINS]
+
+
+def posteriors(docs: DataFrame, model: bytes, keep: str = "doc_id") -> DataFrame:
+    """Column ``keep`` of ``docs``, n_tokens, and p_<domain> of each row."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)  # VOCABULARY rows
-    schema = "doc_id long, n_tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS)
+    rows = docs.select(keep, "text")
+    schema = f"{keep} {rows.schema[0].dataType.simpleString()}, n_tokens long, " + ", ".join(f"{p} double" for p in P)
 
     def run(batches):
         classifier = _loaded(shared.value)
@@ -144,72 +153,88 @@ def posteriors(docs: DataFrame, model: bytes) -> DataFrame:
             texts = [t.as_py() for t in batch.column(1)]
             p = np.array([classifier.posterior(t) if classifier else even for t in texts]).reshape(len(texts), len(DOMAINS))
             n = pa.array([len(t.split()) if t else 0 for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, *[pa.array(p[:, k]) for k in range(len(DOMAINS))]], ["doc_id", "n_tokens", *[f"p_{d}" for d in DOMAINS]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, *[pa.array(p[:, k]) for k in range(len(DOMAINS))]], [keep, "n_tokens", *P])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
-def rates(rows: DataFrame, targets: list[float], least: str = "0.0D", close: float = CLOSE) -> tuple[DataFrame, list[dict]]:
-    """``rows`` with a rate each, at least ``least`` (an SQL expression of its columns), and the residuals of each round.
+def rates(rows: DataFrame, targets: list[float], least: str = "0.0D") -> tuple[DataFrame, dict[str, tuple[float, float]]]:
+    """``rows`` with a rate each, at least ``least`` (an SQL expression), and (target, total reached) of each domain.
 
     rows: n_tokens and p_<domain>. targets: the token totals wanted, one a domain.
     """
-    p = [F.col(f"p_{d}") for d in DOMAINS]
-    k, total = len(p), rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    k, total = len(P), rows.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    low, start = F.expr(least), F.greatest(F.lit(1.0), F.expr(least))
     if not total:
-        return rows.withColumn("rate", F.greatest(F.lit(1.0), F.expr(least))), []
-    want, low = np.array(targets) / total, F.expr(least)
-    gram = rows.agg(*[F.sum(F.col("n_tokens") * a * b) for a in p for b in p]).first()
-    step = 1 / max(np.linalg.eigvalsh(np.array(gram, float).reshape(k, k) / total))
-    # rate after a round = max(least, y + step * sum(residual * posterior)), y the accelerated point before it
-    table = materialize(rows.withColumn("rate", F.greatest(F.lit(1.0), low)).withColumn("ahead", F.col("rate")), "rates")
-    speed, log, best = 1.0, [], np.inf
-    for turn in range(ROUNDS):
-        got = table.agg(*[F.sum(F.col("n_tokens") * c * q) for c in (F.col("ahead"), F.col("rate")) for q in p]).first()
-        ahead, now = np.array(got, float).reshape(2, k) / total
-        error = float(np.abs(now - want).max())
-        log.append({"round": turn, "error": error})
-        if error <= close or turn >= 20 and turn % 10 == 0 and error > best * 0.98:
+        return rows.withColumn("rate", start), {d: (t, 0.0) for d, t in zip(DOMAINS, targets, strict=True)}
+    want = np.array(targets, float) / total
+
+    def free(pull):
+        return start + sum((F.lit(float(g)) * F.col(p) for g, p in zip(pull, P, strict=True)), F.lit(0.0))
+
+    def measured(pull):
+        """(objective, gradient, moments of free rates, totals) at summed gradients ``pull``."""
+        n, at = F.col("n_tokens") / float(total), free(pull)
+        rate, loose = F.greatest(low, at), n * (at > low).cast("double")
+        sums = [F.sum(n * (rate * at - rate * rate / 2))] + [F.sum(n * rate * F.col(p)) for p in P]
+        sums += [F.sum(loose * F.col(p) * F.col(q)) for i, p in enumerate(P) for q in P[i:]]
+        got = np.array(rows.agg(*sums).first(), float)
+        moments = np.zeros((k, k))
+        moments[np.triu_indices(k)] = got[k + 1 :]
+        moments = np.maximum(moments, moments.T) + PULL * np.eye(k)
+        reached = got[1 : k + 1]
+        return got[0] + PULL / 2 * pull @ pull - want @ pull, want - reached - PULL * pull, moments, reached
+
+    pull = np.zeros(k)
+    value, gradient, moments, reached = measured(pull)
+    for _ in range(ROUNDS):
+        move = np.linalg.solve(moments, gradient)
+        if np.abs(gradient).max() <= CLOSE or gradient @ move <= CLOSE**2:
             break
-        if turn % 10 == 0:
-            best = error
-        move = sum((float(step * (w - a)) * q for w, a, q in zip(want, ahead, p, strict=True)), F.lit(0.0))
-        faster = (1 + (1 + 4 * speed * speed) ** 0.5) / 2
-        new = F.greatest(low, F.col("ahead") + move)
-        after = table.withColumn("new", new).withColumn("ahead", F.col("new") + F.lit((speed - 1) / faster) * (F.col("new") - F.col("rate"))).withColumn("rate", F.col("new")).drop("new")
-        speed, table, old = faster, after, table
-        if turn % 5 == 4:  # cut the plan, so that it doesn't grow with the rounds
-            table = materialize(after, "rates")
-    return table.drop("ahead"), log
+        part = 1.0
+        while True:
+            after = measured(pull + part * move)
+            if after[0] <= value - 1e-4 * part * (gradient @ move) + 1e-15 * max(1.0, abs(value)) or part < 1e-6:
+                break
+            part /= 2
+        pull, (value, gradient, moments, reached) = pull + part * move, after
+    else:
+        raise ArithmeticError(f"residual {np.abs(gradient).max()} after {ROUNDS} rounds")
+    return rows.withColumn("rate", F.greatest(low, free(pull))), {d: (float(t), float(r * total)) for d, t, r in zip(DOMAINS, targets, reached, strict=True)}
 
 
-def copies(rate: str = "rate", key: str = "doc_id"):
-    """The rate rounded to a whole number: up with the probability of its fraction, by a hash of the key."""
-    toss = F.pmod(F.xxhash64(F.lit("mix"), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
-    return F.floor(F.col(rate) + toss).cast("long")
+def copies():
+    """Column rate as a whole number: up with the probability of its fraction, by a hash of doc_id and n_tokens."""
+    toss = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "n_tokens"), F.lit(1 << 30)) / float(1 << 30)
+    return F.floor(F.col("rate") + toss).cast("long")
 
 
-def budget(rows: DataFrame, weights: tuple = WEIGHTS, whole: tuple = ("high", "low")) -> list[float]:
-    """Target totals with these weights, as small as lets no domain of ``whole`` be read less than once."""
-    got = rows.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col(f"p_{d}")), F.lit(0.0)) for d in DOMAINS]).first()
-    size = max((got[i] / weights[i] for i, d in enumerate(DOMAINS) if d in whole), default=0.0)
-    return [size * w for w in weights]
+def domain_totals(rows: DataFrame) -> list[float]:
+    return list(rows.agg(*[F.coalesce(F.sum(F.col("n_tokens") * F.col(p)), F.lit(0.0)) for p in P]).first())
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
-    """doc_id, n_tokens, p_<domain>, domain (the likeliest), rate, copies of every row.
+    """doc_id, n_tokens, p_<domain>, domain (the likeliest), rate, copies, gap of every row.
 
-    Documents that are likelier clean than toxic are read once at least; only toxic ones are thinned.
+    Target totals are ``weights`` of all tokens; gap is the largest difference of a total reached, as a share of them.
     """
     rows = materialize(posteriors(docs, train(docs, labels)), "posteriors")
-    fitted, _ = rates(rows, budget(rows, weights), "CASE WHEN p_toxic < 0.5 THEN 1.0D ELSE 0.0D END")
+    size = sum(domain_totals(rows))
+    fitted, totals = rates(rows, [size * w for w in weights])
+    gap = max(abs(t - r) for t, r in totals.values()) / max(1.0, size)
     named = F.array_max(F.array(*[F.struct(F.col(f"p_{d}").alias("p"), F.lit(d).alias("d")) for d in DOMAINS]))["d"]
-    return fitted.withColumn("domain", named).withColumn("copies", copies()).select("doc_id", "n_tokens", *[f"p_{d}" for d in DOMAINS], "domain", "rate", "copies")
+    return fitted.select("doc_id", "n_tokens", *P, named.alias("domain"), "rate", copies().alias("copies"), F.lit(gap).alias("gap"))
 
 
 def mixed(docs: DataFrame, labels: DataFrame, weights: tuple = WEIGHTS) -> DataFrame:
-    """``docs`` with each row as many times as its copies say. All columns, in their order. Ids name rows."""
-    times = mix(docs, labels, weights).groupBy("doc_id").agg(F.min("copies").alias("_copies")).filter("_copies > 0")
-    joined = docs.join(times.withColumnRenamed("doc_id", "_id"), docs["doc_id"].eqNullSafe(F.col("_id")))
-    repeated = joined.withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return repeated.select(*[docs[c] for c in docs.columns])
+    """``docs`` with each row as many times as its copies say. All columns, in their order, whatever their names.
+
+    Documents that are likelier clean than toxic are read once at least, so only toxic ones are thinned; target totals
+    are as small as lets neither clean domain be read less than once.
+    """
+    model = train(docs, labels)
+    rows = materialize(posteriors(docs.select("text", F.struct(*docs.columns).alias("row")), model, "row"), "posteriors")
+    size = max(t / w for t, w in zip(domain_totals(rows)[:2], weights[:2], strict=True))
+    fitted, _ = rates(rows, [size * w for w in weights], "CASE WHEN p_toxic < 0.5 THEN 1.0D ELSE 0.0D END")
+    times = fitted.select("row", F.col("row.doc_id").alias("doc_id"), "n_tokens", "rate").select("row", F.greatest(copies(), F.lit(0)).cast("int").alias("times"))
+    return times.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select("row.*")
