@@ -37,7 +37,6 @@ def test_links_against_all_pairs(spark, monkeypatch):
 
 def test_search_against_all(spark, monkeypatch):
     monkeypatch.setattr(hashforest, "BLOCK", 256)
-    monkeypatch.setattr(hashforest, "LEAST", 60)
     x = np.concatenate([sample(1000) * RNG.uniform(0.2, 2, (1000, 1)), np.ones((30, 12))]).astype(np.float32)
     rows = table(spark, [(i, v.tolist()) for i, v in enumerate(x)] + [o for o in ODD if o[0] != 9000])
     got = hashforest.search(rows.filter("vec_id % 20 = 0"), rows, 20).collect()
@@ -59,3 +58,25 @@ def test_search_against_all(spark, monkeypatch):
     few = rows.filter("vec_id < 5")
     assert hashforest.search(few.filter("vec_id = 0"), few, 20).count() == 4
     assert hashforest.search(few.limit(0), few, 20).count() == 0 and hashforest.search(few, few.limit(0), 20).count() == 0
+
+
+def test_recall_with_production_parameters():
+    """Of the 20 nearest, on vectors spread evenly over 64 dimensions: the hardest kind. Part of each block ranked."""
+    for n, most in ((500, 0.55), (2000, 0.45), (8192, 0.4)):
+        x = np.random.default_rng(n).normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        ids, asked, ranked, hits = np.arange(n), np.arange(0, n, max(20, n // 100)), [], 0
+        forest = hashforest.Forest(x, 1.0, hashforest.rotations(64))
+        for q, got, _ in hashforest.best(x[asked], asked, forest, ids, 20, count=ranked):
+            score = x @ x[q]
+            score[q] = -9
+            hits += len(set(got) & set(np.argsort(-score)[:20]))
+        assert hits >= 0.9 * 20 * len(asked) and np.mean(ranked) <= most * n, (n, hits / 20 / len(asked), np.mean(ranked) / n)
+
+
+def test_repeated_ids_ask_and_answer_once(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.0]), (1, [0.5, 0.0]), (2, [0.0, 0.9]), (3, [-1.0, 0.0]), (None, [1.0, 0.0])]
+    got = hashforest.search(table(spark, rows).filter("vec_id = 0"), table(spark, rows), 20).orderBy("rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id, round(r.score, 6)) for r in got] == [(0, 1, 1, 1.0), (0, 2, 2, 0.9), (0, 3, 3, 0.0)]
+    dup = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddup.classes(table(spark, rows[:-1])).collect()}
+    assert dup == {(0, 3, 0, True), (0, 1, 0, True), (1, 3, 0, False), (2, 1, 0, False), (3, 0, 3, True)}
