@@ -58,8 +58,7 @@ def op4(spark, sf_dir):
 
 @query("op10_brown_classes")
 def op10(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents")
-    return brown.score(docs, *brown.train(docs))
+    return brown.train_and_score(read(spark, sf_dir, "documents"))
 
 
 @query("op7_order_minhash")
