@@ -177,7 +177,35 @@ def test_models(spark):
             raise RuntimeError
         return x
 
-    assert models.with_retries(flaky, wait=0.001)(7) == 7
+    assert models.with_retries(flaky, wait=0.001, later=lambda e: True)(7) == 7
+    calls.clear()
+    with pytest.raises(RuntimeError):
+        models.with_retries(flaky, wait=0.001)(7)
+    assert len(calls) == 1
+    busy = type("Busy", (Exception,), {"status": 429})
+    waits = iter([busy(), busy(), None])
+
+    def post(texts):
+        error = next(waits, None)
+        if error:
+            raise error
+        return [[1.0, 0.0] for _ in texts]
+
+    encoder = models.RemoteEncoder(post, wait=0.001)
+    assert encoder.size == 2 and encoder.encode(["a", "b"]).shape == (2, 2)
+
+
+def test_html_references_and_labels(spark):
+    assert one(spark, "caf&eacute; &#233; &#xe9; &amp;amp; &notit; &lt", tx.unescape_html("x")) == "café é é &amp; ¬it; <"
+    values = [0.5, 2.25, 0.25, 0.35, 49385.65, 0.05, 1e-9, 12.949999999999999]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in rows.select(tx.fixed("x", 1)).collect()] == [f"{v:.1f}" for v in values]
+
+
+def test_thresholds_are_met_by_the_score_itself(spark):
+    texts = spark.createDataFrame([("h", "t", [1.0, 0.0])], "entity_hash string, text string, vector array<double>")
+    near = spark.createDataFrame([("c", [0.69999996, (1 - 0.69999996**2) ** 0.5])], "cui string, vector array<double>")
+    assert link.semantic(texts, near, 0.7).first().cui == "" and link.semantic(texts, near, 0.6999).first().cui == "c"
 
 
 def test_reachable_has_no_depth_limit(spark):

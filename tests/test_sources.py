@@ -75,8 +75,8 @@ def test_upsert_layers_and_positions(spark, tmp_path):
 
 def test_graph_csv_and_reports(spark, tmp_path):
     sinks.graph_csv(spark.createDataFrame([("C1", 'a "b", c')], "cui string, name string"), str(tmp_path / "g"), "concepts")
-    lines = {x for part in (tmp_path / "g").glob("part-*.csv") for x in part.read_text().splitlines()}
-    assert lines == {"cui:ID(Concept),name", 'C1,"a ""b"", c"'}
+    lines = {x for part in (tmp_path / "g" / "rows").glob("part-*.csv") for x in part.read_text().splitlines()}
+    assert lines == {'C1,"a ""b"", c"'} and next((tmp_path / "g" / "header").glob("part-*.txt")).read_text() == "cui:ID(Concept),name\n"
     sinks.heading_report(spark.createDataFrame([("PLAN", 2), ("HPI", 5)], "term string, n_docs long"), str(tmp_path / "r"))
     assert next((tmp_path / "r").glob("part-*.txt")).read_text().splitlines() == ["5\tHPI", "2\tPLAN"]
     rows, seen = sinks.observed(spark.range(7), n=F.count(F.lit(1)))

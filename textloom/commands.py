@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom import runtime
-from textloom.functions.text import uuid5
-from textloom.operators import abbrev, chunks, clean, graph, link, models, sections
+from textloom.functions.text import sentences, token_expansions, uuid5
+from textloom.operators import abbrev, chunks, clean, graph, link, models, sections, shards
 from textloom.sources import readers, sinks
 
 # Namespaces of the ids of points, one a collection.
@@ -23,6 +23,10 @@ NAMESPACES = {
 }
 
 
+#: What a link must reach unless --min-score says otherwise: a full-text score, or a cosine.
+LEAST_SCORE = {"lexical": 5.0, "vector": 0.7, "hybrid": 0.7}
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
@@ -34,6 +38,13 @@ class Workspace:
     def put(self, table: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/{table}")
 
+    def replace(self, table: str, df: DataFrame) -> None:
+        """As put, for a table that the plan itself reads: written beside it first."""
+        self.put(table, runtime.materialize(df, table))
+
+    def has(self, table: str) -> bool:
+        return sinks.exists(self.spark, f"{self.path}/{table}")
+
 
 def clean_step(w: Workspace, a) -> None:
     w.put("notes", clean.clean_notes(readers.notes_csv(w.spark, a.src)))
@@ -60,7 +71,8 @@ def parse_step(w: Workspace, a) -> None:
     code = lambda s: F.coalesce(F.element_at(table, s), F.lit("")) if table is not None else F.lit("")
     alternates = F.transform("alt_specialties", lambda s: F.struct(s.alias("specialty"), code(s).alias("specialty_cui"), sections.document_type_of(s, F.col("types"), explicit, rules).alias("doctype_cui")))
     w.put("docs", docs.withColumn("alt_specialties", alternates).drop("types"))
-    w.put("sections", parts.withColumn("section_cui", F.lit("")))
+    named = docs.select("doc_id", "specialty", "specialty_cui", "keywords")
+    w.put("sections", parts.withColumn("section_cui", F.lit("")).join(named, "doc_id"))
 
 
 def abbreviations_step(w: Workspace, a) -> None:
@@ -86,43 +98,99 @@ def _names(w: Workspace) -> DataFrame:
     return w.get("atoms").join(w.get("concepts"), "cui").select("str_norm", "cui", "name")
 
 
+def _alternates_linked(docs: DataFrame, found: DataFrame, columns: list[str]) -> DataFrame:
+    """``docs`` with the codes of alternate specialties filled in; found: specialty, _cui."""
+    one = docs.select("doc_id", F.posexplode("alt_specialties").alias("_at", "_alt")).join(found, F.col("_alt.specialty") == F.col("specialty"), "left")
+    entry = F.struct("_at", F.col("_alt.specialty"), F.coalesce("_cui", F.col("_alt.specialty_cui")).alias("specialty_cui"), F.col("_alt.doctype_cui"))
+    lists = one.groupBy("doc_id").agg(F.transform(F.sort_array(F.collect_list(entry)), lambda e: F.struct(e["specialty"].alias("specialty"), e["specialty_cui"].alias("specialty_cui"), e["doctype_cui"].alias("doctype_cui"))).alias("_alts"))
+    return docs.join(lists, "doc_id", "left").withColumn("alt_specialties", F.coalesce("_alts", "alt_specialties")).select(*columns)
+
+
 def link_specialties_step(w: Workspace, a) -> None:
     docs = w.get("docs")
     every = docs.select("specialty").union(docs.select(F.explode("alt_specialties.specialty").alias("specialty"))).distinct()
     w.put("specialty_links", link.strings(every, "specialty", _names(w), {}, a.min_score))
+    found = w.get("specialty_links").filter("cui != ''").select("specialty", F.col("cui").alias("_cui"))
+    code = lambda c: F.coalesce("_cui", c)
+    w.replace("docs", _alternates_linked(docs.join(found, "specialty", "left").withColumn("specialty_cui", code("specialty_cui")).drop("_cui"), found, docs.columns))
+    parts = w.get("sections")
+    w.replace("sections", parts.join(found, "specialty", "left").withColumn("specialty_cui", code("specialty_cui")).select(*parts.columns))
 
 
 def link_sections_step(w: Workspace, a) -> None:
     aliases = readers.named_values(w.spark, a.aliases) if a.aliases else {}
-    w.put("section_links", link.strings(w.get("sections"), "section_type", _names(w), aliases, a.min_score))
+    parts = w.get("sections")
+    w.put("section_links", link.strings(parts, "section_type", _names(w), aliases, a.min_score))
+    found = w.get("section_links").select("section_type", F.col("cui").alias("_cui"))
+    w.replace("sections", parts.join(found, "section_type", "left").withColumn("section_cui", F.coalesce("_cui", F.lit(""))).select(*parts.columns))
 
 
 def link_entities_step(w: Workspace, a) -> None:
-    texts = link.distinct_texts(w.get("mentions"))
+    texts, least = link.distinct_texts(w.get("mentions")), float(a.min_score) if a.min_score else LEAST_SCORE[a.mode]
     if a.mode == "lexical":
-        linked = link.lexical(texts, _names(w), a.min_score)
+        linked = link.lexical(texts, _names(w), least, fulltext=not a.no_fulltext)
     else:
         index = w.get("concept_index").select("cui", "vector")
         pointed = models.encoded(texts, "text")
-        linked = link.semantic(pointed, index, a.min_score) if a.mode == "vector" else link.hybrid(pointed, _names(w), index, a.min_score)
-    types = graph.collected_types(w.get("has_semtype"), w.get("semantic_types"))
-    linked = link.with_types(linked, types)
+        linked = link.semantic(pointed, index, least) if a.mode == "vector" else link.hybrid(pointed, _names(w), index, least)
+    none = w.spark.createDataFrame([], "src string, tuis array<string>, names array<string>")
+    types = none if a.no_tuis else graph.collected_types(w.get("has_semtype"), w.get("semantic_types"))
+    linked = link.with_types(linked, types).withColumnRenamed("names", "tui_names")
+    linked = linked.join(w.get("concepts").select("cui", F.col("name").alias("cui_name")), "cui", "left").withColumn("cui_name", F.coalesce("cui_name", F.lit("")))
+    if "match" not in linked.columns:
+        linked = linked.withColumn("match", F.when(F.col("cui") != "", link.match_label("vector", "score")).otherwise(""))
     w.put(f"entity_links_{a.mode}", linked)
     sinks.snapshot(linked.filter("cui != ''").select("text", "cui"), f"{w.path}/snapshot_{a.mode}")
-    w.put("mentions_linked", w.get("mentions").join(linked.select("entity_hash", "cui", "tuis"), "entity_hash", "left").withColumn("cui", F.coalesce("cui", F.lit(""))))
+    w.put("mentions_linked", w.get("mentions").join(linked.select("entity_hash", "cui", "cui_name", F.col("match").alias("cui_match"), "tuis", "tui_names"), "entity_hash", "left").withColumn("cui", F.coalesce("cui", F.lit(""))))
 
 
 def sentences_step(w: Workspace, a) -> None:
-    parts = w.get("sections").select(F.col("chunk_id").alias("section_chunk_id"), "doc_id", "text")
+    """Sections are told apart by document and place: two of one document may share an id."""
+    section = ["doc_id", "section_pos"]
+    parts = w.get("sections").withColumn("_section", F.struct(*section)).withColumnRenamed("chunk_id", "section_chunk_id")
     linked = w.get("mentions_linked").withColumnRenamed("chunk_id", "section_chunk_id")
-    index = chunks.surface_index(linked.join(parts.select("section_chunk_id", "doc_id"), "section_chunk_id"))
-    rows = chunks.sentence_rows(parts, "section_chunk_id", "text").join(parts.select("section_chunk_id", "doc_id"), "section_chunk_id")
-    w.put("sentences", chunks.tag(rows.select("doc_id", "chunk_id", "text"), index))
+    index = chunks.surface_index(linked.join(parts.select("section_chunk_id", "doc_id").distinct(), "section_chunk_id"))
+    split = chunks.sentence_rows(parts, "_section", "text").select("_section", "idx", "text")
+    rows = split.join(parts.drop("text"), "_section").withColumn("chunk_id", F.concat("section_chunk_id", F.lit(":s"), F.col("idx").cast("string")))
+    rows = runtime.materialize(rows.withColumn("_key", F.concat_ws(":", "doc_id", "section_pos", "idx")), "sentences")
+    tagged = chunks.tag(rows, index, key="_key").drop("text")
+    payload = ["doc_id", "section_pos", "section_chunk_id", "idx", "section_type", "section_cui", "specialty", "specialty_cui", "keywords", "text"]
+    w.put("sentences", rows.select("_key", "chunk_id", *payload).join(tagged, "_key").drop("_key"))
+
+
+def _upsert_points(w: Workspace, table: str, points: DataFrame, recreate: bool) -> None:
+    """New points in place of old ones with their ids; the others stay, unless the table is made anew."""
+    rows = points.withColumn("_version", F.lit(1))
+    if w.has(table) and not recreate:
+        rows = rows.unionByName(w.get(table).withColumn("_version", F.lit(0)), allowMissingColumns=True)
+    w.replace(table, graph.latest(rows, ["id"], "_version").drop("_version"))
 
 
 def embed_step(w: Workspace, a) -> None:
-    points = models.encoded(w.get("sentences"), "text").withColumn("id", uuid5(NAMESPACES["sentences"], "chunk_id"))
-    w.put("sentence_points", graph.latest(points.withColumn("_v", F.lit(0)), ["id"], "_v").drop("_v"))
+    """Sentence points: id, vector, and the sentence's section, document, specialty, codes and types to filter by."""
+    docs = w.get("docs").select("doc_id", "doctype_cui", "sample_name", F.col("description").alias("doc_description"))
+    rows = w.get("sentences").join(docs, "doc_id")
+    name = F.concat_ws(":", "section_chunk_id", F.col("section_pos").cast("string"), F.concat(F.lit("s"), "idx"))
+    _upsert_points(w, "sentence_points", models.encoded(rows, "text").withColumn("id", uuid5(NAMESPACES["sentences"], name)), a.recreate)
+
+
+def embed_windows_step(w: Workspace, a) -> None:
+    _upsert_points(w, "window_points", models.encoded(w.get("windows"), "text"), a.recreate)
+
+
+def chunk_entities_step(w: Workspace, a) -> None:
+    """Recognises each section once and deals its spans out to the section's windows, with the expansions of their tokens."""
+    kinds = readers.named_values(w.spark, a.dictionary)
+    parts = w.get("sections").withColumn("_section", F.concat_ws(":", "doc_id", "section_pos"))
+    spans = models.recognised(parts.withColumn("flat", F.array_join(sentences("text"), " ")), "_section", "flat", lambda: models.DictionaryRecognizer(kinds))
+    offsets = chunks.with_offsets(chunks.sentence_rows(parts, "_section", "text"), "_section").groupBy("_section").agg(F.sort_array(F.collect_list(F.struct("idx", "start", "end"))).alias("places"))
+    windows = chunks.pack_windows(parts, "_section", "text").join(offsets, "_section").select("_section", "window_index", F.col("places")[F.col("first")]["start"].alias("w_start"), F.col("places")[F.col("stop") - 1]["end"].alias("w_end"))
+    inside = chunks.contained(spans.withColumnsRenamed({"start_char": "start", "end_char": "end"}), windows, "_section")
+    known = w.get("section_abbrevs").groupBy("chunk_id").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct(F.upper("abbrev"), "expansion")))).alias("known"))
+    named = inside.join(parts.select("_section", "chunk_id", "doc_id"), "_section").join(known, "chunk_id", "left")
+    out = named.withColumn("expansions", F.when(F.col("known").isNotNull(), token_expansions("surface_text", "known")))
+    entity = F.struct(F.col("surface_text").alias("text"), "type", F.col("start").alias("start_char"), F.col("end").alias("end_char"), "expansions")
+    w.put("chunk_entities", out.groupBy("doc_id", F.col("chunk_id").alias("parent_chunk_id"), "_section", "window_index").agg(F.collect_list(entity).alias("entities")).drop("_section"))
 
 
 def windows_step(w: Workspace, a) -> None:
@@ -133,15 +201,16 @@ def windows_step(w: Workspace, a) -> None:
 
 def terminology_step(w: Workspace, a) -> None:
     rrf = lambda t: readers.rrf(w.spark, f"{a.meta}/{t}.RRF", t)
+    keep = {"language": None if a.all_languages else "ENG", "drop_suppressed": not a.keep_suppressed}
     conso = rrf("MRCONSO")
-    kept = graph.concepts(conso)
+    kept = graph.concepts(conso, **keep)
     w.put("concepts", kept)
     kept = w.get("concepts")
     w.put("sources", graph.sources(rrf("MRSAB")))
-    made = graph.atoms(conso, kept)
+    made = graph.atoms(conso, kept, **keep)
     w.put("atoms", made)
     nodes, edges = graph.semantic_types(rrf("MRSTY"), kept)
-    tables = {"semantic_types": nodes, "has_semtype": edges, "relates": graph.relations(rrf("MRREL"), kept), "is_a": graph.hierarchy(rrf("MRHIER"), conso, kept), "defined_by": graph.definitions(rrf("MRDEF"), kept, w.get("sources")), "has_atom": w.get("atoms").select(F.col("cui").alias("src"), F.col("aui").alias("dst"))}
+    tables = {"semantic_types": nodes, "has_semtype": edges, "relates": graph.relations(rrf("MRREL"), kept, not a.keep_suppressed), "is_a": graph.hierarchy(rrf("MRHIER"), conso, kept), "defined_by": graph.definitions(rrf("MRDEF"), kept, w.get("sources"), not a.keep_suppressed), "has_atom": w.get("atoms").select(F.col("cui").alias("src"), F.col("aui").alias("dst"))}
     for name, df in tables.items():
         w.put(name, df)
     if a.out:
@@ -150,8 +219,19 @@ def terminology_step(w: Workspace, a) -> None:
 
 
 def concept_index_step(w: Workspace, a) -> None:
+    """All at once, or ``page`` concepts at a time by cui; --resume goes on after the last page that was written."""
     named = w.get("concepts").filter("coalesce(name, '') != ''").withColumn("id", uuid5(NAMESPACES["concepts"], "cui"))
-    w.put("concept_index", models.encoded(named, "name"))
+    if not a.page:
+        _upsert_points(w, "concept_index", models.encoded(named, "name"), not a.resume)
+        return
+    place = f"{w.path}/concept_index_position"
+    last = sinks.load_position(w.spark, place) if a.resume else None
+    recreate = last is None
+    while not (rows := shards.page(named, "cui", last, a.page)).isEmpty():
+        last = rows.agg(F.max("cui")).first()[0]
+        _upsert_points(w, "concept_index", models.encoded(rows, "name"), recreate)
+        sinks.save_position(w.spark, place, last)
+        recreate = False
 
 
 def load_notes_step(w: Workspace, a) -> None:
@@ -168,13 +248,15 @@ STEPS = {
     "abbreviations": (abbreviations_step, {"override": "", "lexicon": "", "augment": "", "min_score": 0.35}),
     "recognise": (recognise_step, {"dictionary": None}),
     "normalise": (normalise_step, {}),
-    "terminology": (terminology_step, {"meta": None, "out": ""}),
-    "concept-index": (concept_index_step, {}),
+    "terminology": (terminology_step, {"meta": None, "out": "", "all_languages": False, "keep_suppressed": False}),
+    "concept-index": (concept_index_step, {"page": 0, "resume": False}),
     "link-specialties": (link_specialties_step, {"min_score": 5.0}),
     "link-sections": (link_sections_step, {"aliases": "", "min_score": 4.0}),
-    "link-entities": (link_entities_step, {"mode": "lexical", "min_score": 5.0}),
+    "link-entities": (link_entities_step, {"mode": "lexical", "min_score": "", "no_fulltext": False, "no_tuis": False}),
     "sentences": (sentences_step, {}),
-    "embed": (embed_step, {}),
+    "embed": (embed_step, {"recreate": False}),
+    "embed-windows": (embed_windows_step, {"recreate": False}),
+    "chunk-entities": (chunk_entities_step, {"dictionary": None}),
     "windows": (windows_step, {"budget": 200, "overlap": 20}),
     "load-notes": (load_notes_step, {"drop": False}),
 }

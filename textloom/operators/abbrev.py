@@ -79,9 +79,9 @@ def definitions(sections: DataFrame, key: str = "chunk_id", text: str = "text")
     return counted.groupBy(key, "abbrev").agg(F.min_by("expansion", F.struct(-F.col("n"), "at")).alias("expansion"))
 
 
-def occurrences(sections: DataFrame, key: str, text: str, ascii_only: bool = False) -> DataFrame:
+def occurrences(sections: DataFrame, key: str, text: str) -> DataFrame:
     """key, abbrev (first spelling), upper: the distinct acronyms of each section."""
-    tokens = sections.select(key, F.posexplode(acronyms(text, ascii_only)).alias("at", "abbrev")).withColumn("upper", F.upper("abbrev"))
+    tokens = sections.select(key, F.posexplode(acronyms(text)).alias("at", "abbrev")).withColumn("upper", F.upper("abbrev"))
     return tokens.groupBy(key, "upper").agg(F.min_by("abbrev", "at").alias("abbrev"))
 
 

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from textloom.functions.text import entity_hash, expand_tokens, sentences, strip, without_articles
 from textloom.runtime import ship
 
 BUDGET, OVERLAP, LEAST_SURFACE = 200, 20, 2
+BOUNDARY = re.compile(r"\b")
 
 
 def sentence_rows(rows: DataFrame, key: str, text: str) -> DataFrame:
@@ -30,22 +34,17 @@ def with_offsets(rows: DataFrame, key: str, idx: str = "idx", text: str = "text"
 
 def windows_of(counts: list[int], budget: int = BUDGET, overlap: int = OVERLAP) -> list[tuple[int, int]]:
     """Half-open ranges of sentences: as many as fit the budget, one at least; each next one starts at least one later,
-    stepping back over whole sentences until ``overlap`` tokens are shared."""
+    at the last sentence from which ``overlap`` tokens or more are shared.
+
+    Both ends are places in the running sums of the counts.
+    """
+    sums = [0, *accumulate(counts)]
     out: list[tuple[int, int]] = []
-    first, total = 0, len(counts)
-    while first < total:
-        stop, used = first + 1, counts[first]
-        while stop < total and used + counts[stop] <= budget:
-            used += counts[stop]
-            stop += 1
+    first = 0
+    while first < len(counts):
+        stop = max(first + 1, bisect_right(sums, sums[first] + budget) - 1)
         out.append((first, stop))
-        if stop == total:
-            return out
-        shared, back = 0, stop
-        while back > first + 1 and shared < overlap:
-            back -= 1
-            shared += counts[back]
-        first = back
+        first = len(counts) if stop == len(counts) else max(first + 1, min(stop, bisect_right(sums, sums[stop] - overlap) - 1))
     return out
 
 
@@ -86,42 +85,64 @@ def surface_index(mentions: DataFrame, doc: str = "doc_id", surface: str = "surf
     return rows.groupBy(doc, "surface").agg(F.min_by("cui", order).alias("cui"), types.alias("tuis"))
 
 
-def surface_pattern(surfaces) -> re.Pattern:
-    """All surfaces as one pattern between word boundaries, the longest first, whatever the case."""
-    longest_first = sorted(surfaces, key=lambda s: (-len(s), s))
-    return re.compile(rf"\b(?:{'|'.join(map(re.escape, longest_first))})\b", re.IGNORECASE)
+class SurfaceMatcher:
+    """Finds surfaces between word boundaries, leftmost first and of these the longest, whatever the case.
+
+    Only boundaries can start or end a surface, so a text is looked up at these, by the lengths that occur with the
+    character there.
+    """
+
+    def __init__(self, surfaces) -> None:
+        self.known = {s.lower() for s in surfaces if s}
+        lengths: dict[str, set[int]] = {}
+        for s in self.known:
+            lengths.setdefault(s[0], set()).add(len(s))
+        self.lengths = {c: sorted(some, reverse=True) for c, some in lengths.items()}
+
+    def find(self, text: str) -> list[tuple[int, int]]:
+        low = text.lower()
+        if len(low) != len(text):  # a letter whose lower case is longer stays as it is, so that places agree
+            low = "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+        edges = [m.start() for m in BOUNDARY.finditer(low)]
+        ends, out, at = set(edges), [], 0
+        for start in edges:
+            if start < at:
+                continue
+            for n in self.lengths.get(low[start : start + 1], ()):
+                if start + n in ends and low[start : start + n] in self.known:
+                    at = start + n
+                    out.append((start, at))
+                    break
+        return out
 
 
 def tag(sentence_table: DataFrame, index: DataFrame, doc: str = "doc_id", key: str = "chunk_id", text: str = "text") -> DataFrame:
     """key, text, cuis, tuis, surface_forms of every sentence, from the surfaces of its document.
 
-    The surfaces of a document travel as one list: as many as it has mentions.
+    A document's sentences and its surfaces meet as one row: as many as it has of both.
     """
     ship(sentence_table.sparkSession)
     lists = index.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("surface", "cui", "tuis"))).alias("surfaces"))
-    rows = sentence_table.select(doc, key, text).join(lists, doc, "left").select(key, text, "surfaces")
-    kind = sentence_table.schema[key].dataType.simpleString()
+    rows = sentence_table.groupBy(doc).agg(F.collect_list(F.struct(F.col(key).alias("key"), F.col(text).alias("text"))).alias("sentences"))
+    rows = rows.join(lists, doc, "left").select("sentences", "surfaces")
+    kind = sentence_table.schema[key].dataType
 
     def run(batches):
-        patterns: dict[tuple, re.Pattern] = {}
         for batch in batches:
             out = []
-            for k, t, surfaces in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for held, surfaces in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
                 known = {s["surface"]: (s["cui"], s["tuis"]) for s in surfaces or ()}
-                hits: set[str] = set()
-                if known and t:
-                    names = tuple(known)
-                    if names not in patterns:
-                        if len(patterns) > 256:
-                            patterns.clear()
-                        patterns[names] = surface_pattern(names)
-                    hits = {m[0].lower() for m in patterns[names].finditer(t)} & known.keys()
-                out.append((k, t, sorted({known[h][0] for h in hits}), sorted({u for h in hits for u in known[h][1]}), sorted(hits)))
+                matcher = SurfaceMatcher(known)
+                for s in held:
+                    low = s["text"] or ""
+                    hits = sorted({low[a:b].lower() for a, b in matcher.find(low)} & known.keys()) if known else []
+                    out.append((s["key"], s["text"], sorted({known[h][0] for h in hits}), sorted({u for h in hits for u in known[h][1]}), hits))
             columns = list(zip(*out, strict=True)) if out else [()] * 5
             texts = pa.list_(pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (batch.column(0).type, pa.string(), texts, texts, texts), strict=True)], [key, text, "cuis", "tuis", "surface_forms"])
+            kinds = (to_arrow_type(kind), pa.string(), texts, texts, texts)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [key, text, "cuis", "tuis", "surface_forms"])
 
-    return rows.mapInArrow(run, f"{key} {kind}, {text} string, cuis array<string>, tuis array<string>, surface_forms array<string>")
+    return rows.mapInArrow(run, f"{key} {kind.simpleString()}, {text} string, cuis array<string>, tuis array<string>, surface_forms array<string>")
 
 
 def normalise_mentions(mentions: DataFrame, abbreviations: DataFrame, key: str = "chunk_id") -> DataFrame:

@@ -34,14 +34,14 @@ def no_loops(edges: DataFrame, src: str, dst: str) -> DataFrame:
     return edges.filter(F.col(src) != F.col(dst))
 
 
-def concepts(mrconso: DataFrame, order: str = "pos") -> DataFrame:
-    """cui, name: the text of a concept's first kept row."""
-    rows = first_wins(kept_rows(mrconso), ["CUI"], order, ["STR"])
+def concepts(mrconso: DataFrame, order: str = "pos", **keep) -> DataFrame:
+    """cui, name: the text of a concept's first kept row. keep: as ``kept_rows`` takes it."""
+    rows = first_wins(kept_rows(mrconso, **keep), ["CUI"], order, ["STR"])
     return rows.select(F.col("CUI").alias("cui"), unescape_html("STR").alias("name"))
 
 
-def atoms(mrconso: DataFrame, kept: DataFrame) -> DataFrame:
-    rows = within(kept_rows(mrconso), {"CUI": (kept, "cui")})
+def atoms(mrconso: DataFrame, kept: DataFrame, **keep) -> DataFrame:
+    rows = within(kept_rows(mrconso, **keep), {"CUI": (kept, "cui")})
     text = unescape_html("STR")
     return rows.select(F.col("CUI").alias("cui"), F.col("AUI").alias("aui"), F.col("SAB").alias("sab"), F.col("CODE").alias("code"), F.col("TTY").alias("tty"), text.alias("str"), F.lower(text).alias("str_norm"))
 
@@ -53,8 +53,8 @@ def semantic_types(mrsty: DataFrame, kept: DataFrame, order: str = "pos") -> tup
     return nodes, rows.select(F.col("CUI").alias("src"), F.col("TUI").alias("dst"))
 
 
-def relations(mrrel: DataFrame, kept: DataFrame) -> DataFrame:
-    rows = within(no_loops(kept_rows(mrrel), "CUI1", "CUI2"), {"CUI1": (kept, "cui"), "CUI2": (kept, "cui")})
+def relations(mrrel: DataFrame, kept: DataFrame, drop_suppressed: bool = True) -> DataFrame:
+    rows = within(no_loops(kept_rows(mrrel, None, drop_suppressed), "CUI1", "CUI2"), {"CUI1": (kept, "cui"), "CUI2": (kept, "cui")})
     return rows.select(F.col("CUI1").alias("src"), F.col("CUI2").alias("dst"), F.col("REL").alias("rel"), F.col("RELA").alias("rela"), F.col("SAB").alias("sab"))
 
 
@@ -72,8 +72,8 @@ def resolve_ends(rows: DataFrame, owner: DataFrame, key: str, value: str, ends:
     return rows
 
 
-def definitions(mrdef: DataFrame, kept: DataFrame, sources: DataFrame) -> DataFrame:
-    rows = within(kept_rows(mrdef, None), {"CUI": (kept, "cui"), "SAB": (sources, "sab")})
+def definitions(mrdef: DataFrame, kept: DataFrame, sources: DataFrame, drop_suppressed: bool = True) -> DataFrame:
+    rows = within(kept_rows(mrdef, None, drop_suppressed), {"CUI": (kept, "cui"), "SAB": (sources, "sab")})
     return rows.select(F.col("CUI").alias("src"), F.col("SAB").alias("dst"), unescape_html("DEF").alias("def"))
 
 

@@ -39,8 +39,8 @@ def postings(corpus: DataFrame, doc: str, text: str) -> DataFrame:
 def bm25(queries: DataFrame, corpus: DataFrame, query: str, query_text: str, doc: str, text: str, k: int = 1, least: float = 0.0, all_terms: bool = False) -> DataFrame:
     """query, doc, score, rank: the k best documents for each query, of at least ``least``; ties to the smaller id.
 
-    Joined by term, and only terms of queries leave the scan of postings. Scores are compared rounded to 6 places, so
-    that the order of summation decides nothing. all_terms: every term of the query must be there.
+    Joined by term, and only terms of queries leave the scan of postings. Scores are rounded to 12 places, so that
+    the order of summation decides nothing. all_terms: every term of the query must be there.
     """
     terms = queries.select(query, F.explode(F.array_distinct(words(query_text))).alias("term"))
     index = postings(corpus, doc, text)
@@ -51,7 +51,7 @@ def bm25(queries: DataFrame, corpus: DataFrame, query: str, query_text: str, doc
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * (F.col("tf") * (K1 + 1)) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean)))
     hits = terms.join(wanted.join(frequency, "term").select("term", doc, part.alias("part")), "term")
-    scored = hits.groupBy(query, doc).agg(F.round(F.sum("part"), 6).alias("score"), F.count("*").alias("_n"))
+    scored = hits.groupBy(query, doc).agg(F.round(F.sum("part"), 12).alias("score"), F.count("*").alias("_n"))
     if all_terms:
         scored = scored.join(terms.groupBy(query).agg(F.count("*").alias("_all")), query).filter("_n = _all").drop("_all")
     order = Window.partitionBy(query).orderBy(F.desc("score"), doc)
@@ -74,7 +74,7 @@ def _packed(df: DataFrame, key: str, vector: str, block: int, name: str) -> tupl
 
 
 def nearest(queries: DataFrame, corpus: DataFrame, query: str, doc: str, k: int = 1, vector: str = "vector", where: Column | None = None, exclude_self: bool = False, block: int = 4096) -> DataFrame:
-    """query, doc, score, rank: the k nearest by cosine, exactly; ties on the score rounded to 6 places to the smaller id.
+    """query, doc, score, rank: the k nearest by cosine, exactly; scores have 12 places, so that rounding of sums decides nothing; ties go to the smaller id.
 
     ``where`` filters the corpus before the search. Blocks of queries meet blocks of the corpus as matrix products;
     each pair of blocks gives k rows a query at most, and a second step merges them.
@@ -106,7 +106,7 @@ def nearest(queries: DataFrame, corpus: DataFrame, query: str, doc: str, k: int
                 rows_q, rows_d, scores = [], [], []
                 own = {v: i for i, v in enumerate(d_ids.to_pylist())} if exclude_self else {}
                 for start in range(0, len(q), 256):
-                    s = np.round(q[start : start + 256] @ d.T, 6)
+                    s = np.round(q[start : start + 256] @ d.T, 12)
                     for i, row in enumerate(s):
                         if exclude_self and (at := own.get(q_ids[start + i].as_py())) is not None:
                             row[at] = -np.inf
@@ -132,12 +132,14 @@ def with_types(linked: DataFrame, types: DataFrame) -> DataFrame:
     return linked.join(types.withColumnRenamed("src", "cui"), "cui", "left").withColumn("tuis", F.coalesce("tuis", F.array().cast("array<string>"))).withColumn("names", F.coalesce("names", F.array().cast("array<string>")))
 
 
-def lexical(texts: DataFrame, names: DataFrame, least: float = 5.0, all_terms: bool = False) -> DataFrame:
-    """entity_hash, text, cui, match: the exact tier, then full text for what is left and has a letter or digit.
+def lexical(texts: DataFrame, names: DataFrame, least: float = 5.0, all_terms: bool = False, fulltext: bool = True) -> DataFrame:
+    """entity_hash, text, cui, match: the exact tier, then, with ``fulltext``, full text for what is left and has a letter or digit.
 
     texts: entity_hash, text. names: str_norm, cui, name. Full text searches names, each once.
     """
     first = exact(texts, names).select("entity_hash", "cui", match_label("exact").alias("match"))
+    if not fulltext:
+        return _written_back(texts, first)
     left = texts.join(first, "entity_hash", "left_anti").filter(F.col("text").rlike(HAS_LETTER_OR_DIGIT))
     corpus = names.select("cui", "name").distinct().groupBy("cui").agg(F.min("name").alias("name"))
     found = bm25(left, corpus, "entity_hash", "text", "cui", "name", 1, least, all_terms)
@@ -150,17 +152,17 @@ def _written_back(texts: DataFrame, linked: DataFrame) -> DataFrame:
     return out.select("entity_hash", "text", F.coalesce("cui", F.lit("")).alias("cui"), F.coalesce("match", F.lit("")).alias("match"))
 
 
-def semantic(texts: DataFrame, concepts: DataFrame, least: float = 0.7) -> DataFrame:
+def semantic(texts: DataFrame, concepts: DataFrame, least: float = 0.7, exclude_self: bool = False) -> DataFrame:
     """entity_hash, text, cui, score: the nearest concept; below ``least`` the score stays and the cui is empty."""
-    found = nearest(texts, concepts, "entity_hash", "cui", 1)
+    found = nearest(texts, concepts, "entity_hash", "cui", 1, exclude_self=exclude_self)
     return texts.select("entity_hash", "text").join(found, "entity_hash", "left").select("entity_hash", "text", F.when(F.col("score") >= least, F.col("cui").cast("string")).otherwise("").alias("cui"), "score")
 
 
-def hybrid(texts: DataFrame, names: DataFrame, concepts: DataFrame, least: float = 0.7) -> DataFrame:
+def hybrid(texts: DataFrame, names: DataFrame, concepts: DataFrame, least: float = 0.7, exclude_self: bool = False) -> DataFrame:
     """entity_hash, text, cui, match, score: exact (score 1), then nearest vector; what is left has score 0."""
     first = exact(texts, names).select("entity_hash", "cui", match_label("exact").alias("match"), F.lit(1.0).alias("score"))
     left = texts.join(first, "entity_hash", "left_anti")
-    found = nearest(left, concepts, "entity_hash", "cui", 1).filter(F.col("score") >= least)
+    found = nearest(left, concepts, "entity_hash", "cui", 1, exclude_self=exclude_self).filter(F.col("score") >= least)
     second = found.select("entity_hash", "cui", match_label("vector", "score").alias("match"), "score")
     linked = first.unionByName(second)
     out = texts.select("entity_hash", "text").join(linked, "entity_hash", "left")

@@ -17,16 +17,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.operators.chunks import surface_pattern
+from textloom.operators.chunks import SurfaceMatcher
 from textloom.runtime import ship
 
 GAP = re.compile(r"(?<=[.!?])\s+(?=[A-Za-z0-9(\[])")
 
 
 class RuleSplitter:
+    """Sentences between the gaps that ``functions.text.sentences`` cuts at."""
+
     def split(self, text: str) -> list[str]:
         flat = " ".join(text.split())
-        return [s for s in GAP.split(flat) if s] if flat else []
+        starts, stops = [0], []
+        for gap in GAP.finditer(flat):
+            stops.append(gap.start())
+            starts.append(gap.end())
+        return [flat[a:b] for a, b in zip(starts, [*stops, len(flat)], strict=True) if a < b]
 
 
 class DictionaryRecognizer:
@@ -34,11 +40,10 @@ class DictionaryRecognizer:
 
     def __init__(self, kinds: dict[str, str]) -> None:
         self.kinds = {k.lower(): v for k, v in kinds.items()}
+        self.matcher = SurfaceMatcher(self.kinds)
 
     def find(self, text: str) -> list[tuple[int, int, str]]:
-        if not self.kinds:
-            return []
-        return [(m.start(), m.end(), self.kinds[m[0].lower()]) for m in surface_pattern(self.kinds).finditer(text)]
+        return [(a, b, self.kinds[text[a:b].lower()]) for a, b in self.matcher.find(text)]
 
 
 class HashingEncoder:
@@ -61,16 +66,22 @@ class HashingEncoder:
         return out
 
 
-def with_retries(call: Callable, tries: int = 5, wait: float = 0.25, longest: float = 8.0) -> Callable:
-    """For encoders behind a service: calls again after growing pauses, and raises what the last try raised."""
+def busy(error: Exception) -> bool:
+    """Whether a service asks to be called later: HTTP 429, or no connection in time."""
+    status = getattr(error, "status", None) or getattr(error, "code", None) or getattr(getattr(error, "response", None), "status_code", None)
+    return status == 429 or isinstance(error, (ConnectionError, TimeoutError))
+
+
+def with_retries(call: Callable, tries: int = 5, wait: float = 0.25, longest: float = 8.0, later: Callable = busy) -> Callable:
+    """For encoders behind a service: calls again after growing pauses while ``later`` says so of the error; raises any other, and the last."""
 
     def again(*args):
         pause = wait
         for left in range(tries - 1, -1, -1):
             try:
                 return call(*args)
-            except Exception:
-                if not left:
+            except Exception as error:
+                if not left or not later(error):
                     raise
                 time.sleep(pause)
                 pause = min(longest, 2 * pause)
@@ -78,6 +89,17 @@ def with_retries(call: Callable, tries: int = 5, wait: float = 0.25, longest: fl
     return again
 
 
+class RemoteEncoder:
+    """An encoder behind a service: ``post(texts)`` returns vectors; the size comes from one probing call."""
+
+    def __init__(self, post: Callable, **retries) -> None:
+        self.post = with_retries(post, **retries)
+        self.size = len(self.post(["size"])[0])
+
+    def encode(self, texts: list[str]) -> np.ndarray:
+        return np.asarray(self.post(texts), np.float32).reshape(len(texts), self.size)
+
+
 def encoded(df: DataFrame, text: str, load: Callable = HashingEncoder, name: str = "vector", batch: int = 256) -> DataFrame:
     """Adds a vector for each text. Texts of a batch are encoded by length, so that padding stays small."""
     ship(df.sparkSession)

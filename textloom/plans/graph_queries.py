@@ -15,8 +15,8 @@ from textloom.runtime import read
     FROM lineitem WHERE l_linestatus = 'O' AND l_returnflag NOT IN ('R', 'A') GROUP BY 1""",
 )
 def rrf_filter_first_wins(spark, sf_dir):
-    rows = read(spark, sf_dir, "lineitem").filter((F.col("l_linestatus") == "O") & ~F.col("l_returnflag").isin("R", "A"))
-    rows = rows.withColumn("pos", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    rows = read(spark, sf_dir, "lineitem").withColumn("LAT", F.expr("if(l_linestatus = 'O', 'ENG', 'SPA')")).withColumn("SUPPRESS", F.expr("decode(l_returnflag, 'R', 'O', 'A', 'Y', 'N')"))
+    rows = graph.kept_rows(rows).withColumn("pos", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     return clean.first_wins(rows, ["l_partkey"], "pos", ["pos", "l_quantity"])
 
 
@@ -26,7 +26,8 @@ def rrf_filter_first_wins(spark, sf_dir):
     WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 20) AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) AND l_partkey <> l_suppkey""",
 )
 def edges_two_sided_semi(spark, sf_dir):
-    edges = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"), "l_orderkey", "l_linenumber").filter("src <> dst")
+    edges = read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"), "l_orderkey", "l_linenumber")
+    edges = graph.no_loops(edges, "src", "dst")
     ends = {"src": (read(spark, sf_dir, "part").filter("p_size < 20"), "p_partkey"), "dst": (read(spark, sf_dir, "supplier").filter("s_acctbal > 0"), "s_suppkey")}
     return graph.within(edges, ends).select("src", "dst", "l_orderkey", "l_linenumber")
 
@@ -156,13 +157,14 @@ def category_counts_exploded(spark, sf_dir):
 
 @query(
     "hierarchy_closure",
-    """WITH RECURSIVE e AS (SELECT o_orderkey AS src, o_orderkey // 16 AS dst FROM orders), r(id, depth) AS (SELECT max(o_orderkey), 0 FROM orders
+    """WITH RECURSIVE e AS (SELECT o_orderkey AS src, o_orderkey // 16 AS dst FROM orders), r(id, depth) AS (SELECT src, 0 FROM e WHERE src NOT IN (SELECT dst FROM e WHERE src <> dst)
     UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.id WHERE e.src <> e.dst) SELECT id, min(depth)::INT AS depth FROM r GROUP BY id""",
 )
 def hierarchy_closure(spark, sf_dir):
     orders = read(spark, sf_dir, "orders")
     edges = orders.select(F.col("o_orderkey").alias("src"), F.floor(F.col("o_orderkey") / 16).cast("long").alias("dst"))
-    return graph.reachable(edges, orders.agg(F.max("o_orderkey").alias("id")))
+    parents = edges.filter("src != dst").select(F.col("dst").alias("src"))
+    return graph.reachable(edges, edges.join(parents, "src", "left_anti").select(F.col("src").alias("id")))
 
 
 @query(

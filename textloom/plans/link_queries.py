@@ -46,44 +46,44 @@ def bm25_sql(queries: str, q: str, q_text: str, corpus: str, d: str, d_text: str
     dw AS (SELECT {d} AS d, {WORDS.format(d_text)} AS ws FROM {corpus}), st AS (SELECT count(*) AS n, avg(len(ws)) AS m FROM dw),
     tf AS (SELECT d, len(ws) AS dl, term, count(*) AS tf FROM (SELECT d, ws, unnest(ws) AS term FROM dw) GROUP BY 1, 2, 3),
     df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
-    sc AS (SELECT q, d, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / m))), 6) AS score
+    sc AS (SELECT q, d, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / m))), 12) AS score
       FROM qt JOIN tf USING (term) JOIN df USING (term), st GROUP BY 1, 2),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, d) AS rn FROM sc)"""
 
 
-@query("bm25_top1", f"WITH {bm25_sql('benchmark', 'item_id', 'text', 'documents', 'doc_id', 'text')} SELECT q AS item_id, d AS doc_id, score FROM ranked WHERE rn = 1")
+@query("bm25_top1", f"WITH {bm25_sql('benchmark', 'item_id', 'text', 'documents', 'doc_id', 'text')} SELECT q AS item_id, d AS doc_id, round(score, 6) AS score FROM ranked WHERE rn = 1")
 def bm25_top1(spark, sf_dir):
     found = link.bm25(read(spark, sf_dir, "benchmark").withColumnRenamed("text", "q"), read(spark, sf_dir, "documents"), "item_id", "q", "doc_id", "text")
-    return found.select("item_id", "doc_id", "score")
+    return found.select("item_id", "doc_id", F.round("score", 6).alias("score"))
 
 
-COSINE = "round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / sqrt(list_inner_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) * list_inner_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 6)"
+COSINE = "round(list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / sqrt(list_inner_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[]) * list_inner_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 12)"
 
 
 @query(
     "knn_top1_threshold",
-    f"""WITH s AS (SELECT a.vec_id AS q, b.vec_id AS d, {COSINE} AS score FROM embeddings a, embeddings b WHERE a.vec_id % 10 = 0 AND b.vec_id % 10 <> 0),
+    f"""WITH s AS (SELECT a.vec_id AS q, b.vec_id AS d, {COSINE} AS score FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
     r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, d) AS rn FROM s)
-    SELECT q AS vec_id, CASE WHEN score >= 0.4 THEN d::VARCHAR ELSE '' END AS cui, score FROM r WHERE rn = 1""",
+    SELECT q AS vec_id, CASE WHEN score >= 0.4 THEN d::VARCHAR ELSE '' END AS cui, round(score, 6) AS score FROM r WHERE rn = 1""",
 )
 def knn_top1_threshold(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
-    texts = rows.filter("vec_id % 10 = 0").select(F.col("vec_id").alias("entity_hash"), F.lit("").alias("text"), "vector")
-    found = link.semantic(texts, rows.filter("vec_id % 10 != 0").select(F.col("vec_id").alias("cui"), "vector"), 0.4)
-    return found.select(F.col("entity_hash").alias("vec_id"), F.col("cui").cast("string").alias("cui"), "score")
+    texts = rows.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("entity_hash"), F.lit("").alias("text"), "vector")
+    found = link.semantic(texts, rows.select(F.col("vec_id").alias("cui"), "vector"), 0.4, exclude_self=True)
+    return found.select(F.col("entity_hash").alias("vec_id"), F.col("cui").cast("string").alias("cui"), F.round("score", 6).alias("score"))
 
 
 @query(
     "knn_topk_filtered",
-    f"""WITH s AS (SELECT a.vec_id AS q, b.vec_id AS d, {COSINE} AS score FROM embeddings a, embeddings b WHERE a.vec_id < 50 AND b.label = 3 AND a.vec_id <> b.vec_id),
+    f"""WITH s AS (SELECT a.vec_id AS q, b.vec_id AS d, {COSINE} AS score FROM embeddings a, embeddings b WHERE a.vec_id % 100 = 0 AND b.label = 3 AND a.vec_id <> b.vec_id),
     r AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, d) AS rn FROM s)
-    SELECT q AS query_id, d AS vec_id, rn::INT AS rank, score FROM r WHERE rn <= 5""",
+    SELECT q AS query_id, d AS vec_id, rn::INT AS rank, round(score, 6) AS score FROM r WHERE rn <= 5""",
 )
 def knn_topk_filtered(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
-    asked = rows.filter("vec_id < 50").select(F.col("vec_id").alias("query_id"), "vector")
+    asked = rows.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "vector")
     found = link.nearest(asked, rows, "query_id", "vec_id", 5, where=F.col("label") == 3, exclude_self=True)
-    return found.select("query_id", "vec_id", "rank", "score")
+    return found.select("query_id", "vec_id", "rank", F.round("score", 6).alias("score"))
 
 
 CASCADE = f"""WITH t AS (SELECT substr(sha1(lower(trim(x))), 1, 16) AS entity_hash, min(trim(x)) AS text FROM
@@ -110,27 +110,27 @@ def lexical_cascade(spark, sf_dir):
     return _lexical(spark, sf_dir).select("entity_hash", "cui", F.split_part("match", F.lit("/"), F.lit(1)).alias("tier"))
 
 
-HYBRID = f"""WITH q AS (SELECT 'v' || vec_id AS entity_hash, embedding FROM embeddings WHERE vec_id % 5 = 0), s AS (SELECT a.entity_hash, 'v' || b.vec_id AS cui, {COSINE} AS score
-    FROM q a, embeddings b WHERE b.vec_id % 5 <> 0 AND a.entity_hash NOT IN (SELECT 'v' || vec_id FROM embeddings WHERE vec_id % 3 = 0)),
+HYBRID = f"""WITH q AS (SELECT 'v' || vec_id AS entity_hash, embedding FROM embeddings WHERE vec_id % 100 = 0), s AS (SELECT a.entity_hash, 'v' || b.vec_id AS cui, {COSINE} AS score
+    FROM q a, embeddings b WHERE 'v' || b.vec_id <> a.entity_hash AND a.entity_hash NOT IN (SELECT 'v' || vec_id FROM embeddings WHERE vec_id % 3 = 0)),
     r AS (SELECT *, row_number() OVER (PARTITION BY entity_hash ORDER BY score DESC, cui) AS rn FROM s)"""
 
 
 def _hybrid(spark, sf_dir):
     rows = read(spark, sf_dir, "embeddings").withColumnRenamed("embedding", "vector")
     name = F.concat(F.lit("v"), "vec_id")
-    texts = rows.filter("vec_id % 5 = 0").select(name.alias("entity_hash"), name.alias("text"), "vector")
+    texts = rows.filter("vec_id % 100 = 0").select(name.alias("entity_hash"), name.alias("text"), "vector")
     names = rows.filter("vec_id % 3 = 0").select(name.alias("str_norm"), F.concat(F.lit("X"), "vec_id").alias("cui"), name.alias("name"))
-    return link.hybrid(texts, names, rows.filter("vec_id % 5 != 0").select(name.alias("cui"), "vector"), 0.4)
+    return link.hybrid(texts, names, rows.select(name.alias("cui"), "vector"), 0.4, exclude_self=True)
 
 
 @query(
     "hybrid_cascade",
     f"""{HYBRID} SELECT q.entity_hash, CASE WHEN substr(q.entity_hash, 2)::INT % 3 = 0 THEN 'X' || substr(q.entity_hash, 2) WHEN r.score >= 0.4 THEN r.cui ELSE '' END AS cui,
-    CASE WHEN substr(q.entity_hash, 2)::INT % 3 = 0 THEN 1.0 WHEN r.score >= 0.4 THEN r.score ELSE 0.0 END::DOUBLE AS score
+    CASE WHEN substr(q.entity_hash, 2)::INT % 3 = 0 THEN 1.0 WHEN r.score >= 0.4 THEN round(r.score, 6) ELSE 0.0 END::DOUBLE AS score
     FROM q LEFT JOIN r ON r.entity_hash = q.entity_hash AND rn = 1""",
 )
 def hybrid_cascade(spark, sf_dir):
-    return _hybrid(spark, sf_dir).select("entity_hash", "cui", "score")
+    return _hybrid(spark, sf_dir).select("entity_hash", "cui", F.round("score", 6).alias("score"))
 
 
 @query(

@@ -73,21 +73,23 @@ def char_offsets(spark, sf_dir):
     return rows.select("doc_id", "idx", F.col("start").alias("start_char"), F.col("end").alias("end_char"))
 
 
-STRIPPED = r"trim(regexp_replace(regexp_replace(text, '\b(a|an|the)\b', '', 'gi'), '\s+', ' ', 'g'))"
+#: Every run of letters, digits and underscores between two marks: word boundaries that know all letters.
+MARKED = r"regexp_replace(text, '([\p{L}\p{Nd}_]+)', chr(1) || '\1' || chr(2), 'g')"
+STRIPPED = rf"trim(regexp_replace(translate(regexp_replace({MARKED}, '\x01(a|an|the)\x02', '', 'gi'), chr(1) || chr(2), ''), '\s+', ' ', 'g'))"
+ACRONYMS = rf"regexp_extract_all({MARKED}, '\x01([A-Z][A-Z0-9]+)\x02', 1)"
 
 
 @query("article_strip", f"SELECT doc_id, md5(CASE WHEN {STRIPPED} = '' THEN text ELSE {STRIPPED} END) AS digest FROM documents")
 def article_strip(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", F.md5(tx.without_articles("text", ascii_only=True)).alias("digest"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.md5(tx.without_articles("text")).alias("digest"))
 
 
 @query(
     "token_doc_frequency",
-    r"""SELECT term, count(*) AS n_docs FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '\b[A-Z][A-Z0-9]+\b')) AS term FROM documents)
-    GROUP BY term HAVING count(*) >= 2""",
+    f"SELECT term, count(*) AS n_docs FROM (SELECT DISTINCT doc_id, unnest({ACRONYMS}) AS term FROM documents) GROUP BY term HAVING count(*) >= 2",
 )
 def token_doc_frequency(spark, sf_dir):
-    return clean.document_frequency(read(spark, sf_dir, "documents"), "doc_id", tx.acronyms("text", ascii_only=True))
+    return clean.document_frequency(read(spark, sf_dir, "documents"), "doc_id", tx.acronyms("text"))
 
 
 SLUG = "lower(trim(regexp_replace({}, '[^A-Za-z0-9]+', '_', 'g'), '_'))"
@@ -99,8 +101,12 @@ def slugify(spark, sf_dir):
     return read(spark, sf_dir, "part").select(raw.alias("raw"), tx.slug(F.concat(F.lit("-"), raw)).alias("slug")).distinct()
 
 
+#: The references that the pages have, the ampersand last.
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"))
+
+
 def _unescaped(column: str) -> str:
-    for entity, plain in tx.ENTITIES:
+    for entity, plain in ENTITIES:
         column = "replace({}, '{}', '{}')".format(column, entity, plain.replace("'", "''"))
     return column
 
@@ -117,13 +123,13 @@ _VALUES = lambda d: ", ".join(f"('{k}', '{v}')" for k, v in d.items())  # noqa:
 @query(
     "abbrev_precedence",
     rf"""WITH o(upper, expansion) AS (VALUES {_VALUES(OVERRIDE)}), g(upper, expansion) AS (VALUES {_VALUES(GAZETTEER)}),
-    t AS (SELECT DISTINCT doc_id, upper(unnest(regexp_extract_all(text, '\b[A-Z][A-Z0-9]+\b'))) AS upper FROM documents)
+    t AS (SELECT DISTINCT doc_id, upper(unnest({ACRONYMS})) AS upper FROM documents)
     SELECT doc_id, t.upper AS upper, CASE WHEN o.upper IS NOT NULL THEN 'override' ELSE 'gazetteer' END AS source, coalesce(o.expansion, g.expansion) AS expansion
     FROM t LEFT JOIN o USING (upper) LEFT JOIN g ON t.upper = g.upper WHERE o.upper IS NOT NULL OR g.upper IS NOT NULL""",
 )
 def abbrev_precedence(spark, sf_dir):
     table = lambda d: spark.createDataFrame(list(d.items()), "upper string, expansion string")
-    found = abbrev.occurrences(read(spark, sf_dir, "documents"), "doc_id", "text", ascii_only=True)
+    found = abbrev.occurrences(read(spark, sf_dir, "documents"), "doc_id", "text")
     best = abbrev.by_precedence(found, "doc_id", [("override", table(OVERRIDE)), ("gazetteer", table(GAZETTEER))])
     return best.select("doc_id", "upper", "source", "expansion")
 
@@ -145,55 +151,147 @@ def schwartz_hearst(spark, sf_dir):
     return abbrev.definitions(read(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query("surface_tagging")
+SURFACES = ("the thing", "thing", "and", "of the", "est", "der")
+_LOW = MARKED.replace("text", "lower(s)")
+_FORMS = "|".join(" ".join(rf"\x01{w}\x02" for w in s.split()) for s in sorted(SURFACES, key=lambda s: -len(s)))
+_CASE = lambda v: "CASE h " + " ".join(f"WHEN '{s}' THEN {v(i)}" for i, s in enumerate(SURFACES)) + " END"
+
+
+@query(
+    "surface_tagging",
+    f"""WITH h AS (SELECT doc_id || ':s' || idx AS chunk_id, list_sort(list_distinct(list_transform(regexp_extract_all({_LOW}, '{_FORMS}'), lambda h: translate(h, chr(1) || chr(2), '')))) AS hs FROM ({SENTENCE_ROWS}))
+    SELECT chunk_id, array_to_string(list_sort(list_transform(hs, lambda h: {_CASE(lambda i: f"'C{i}'")})), '|') AS cuis,
+    array_to_string(list_sort(list_distinct(flatten(list_transform(hs, lambda h: {_CASE(lambda i: f"['T{i % 3}', 'T9']")})))), '|') AS tuis, array_to_string(hs, '|') AS surface_forms FROM h""",
+)
 def surface_tagging(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    surfaces = spark.createDataFrame([(i, w, f"C{i}", [f"T{i % 3}", "T9"]) for i, w in enumerate(["the thing", "thing", "and", "of the", "est", "der"])], "pos int, surface_text string, cui string, tuis array<string>")
-    index = chunks.surface_index(surfaces.withColumn("lang", F.lit("en")), "lang")
-    rows = chunks.sentence_rows(docs, "doc_id", "text").join(docs.select("doc_id", "lang"), "doc_id")
-    tagged = chunks.tag(rows, index, "lang")
+    surfaces = spark.createDataFrame([(i, w, f"C{i}", [f"T{i % 3}", "T9"]) for i, w in enumerate(SURFACES)], "pos int, surface_text string, cui string, tuis array<string>")
+    index = chunks.surface_index(docs.select("doc_id").join(F.broadcast(surfaces)), "doc_id")  # six surfaces a document
+    tagged = chunks.tag(chunks.sentence_rows(docs, "doc_id", "text"), index, "doc_id")
     return tagged.select("chunk_id", *[F.array_join(c, "|").alias(c) for c in ("cuis", "tuis", "surface_forms")])
 
 
-@query("window_pack")
+@query(
+    "window_pack",
+    f"""WITH RECURSIVE c AS (SELECT doc_id, {SENTENCES} AS parts FROM documents), n AS (SELECT doc_id, parts, list_transform(parts, lambda s: len(string_split(s, ' '))) AS ns FROM c WHERE len(parts) > 0),
+    u AS (SELECT doc_id, parts, list_transform(range(0, len(ns) + 1), lambda i: coalesce(list_sum(ns[1:i]), 0)::BIGINT) AS sums FROM n),
+    r(doc_id, i, first, stop) AS (SELECT doc_id, 0, 0::BIGINT, greatest(1, len(list_filter(sums, lambda x: x <= 200)) - 1) FROM u
+      UNION ALL SELECT doc_id, i + 1, first, greatest(first + 1, len(list_filter(sums, lambda x: x <= sums[first + 1] + 200)) - 1) FROM
+        (SELECT r.doc_id, i, sums, greatest(r.first + 1, least(stop, len(list_filter(sums, lambda x: x <= sums[stop + 1] - 20)) - 1)) AS first FROM r JOIN u USING (doc_id) WHERE stop < len(parts)))
+    SELECT doc_id, i::INT AS window_index, k::INT AS window_count, CASE WHEN k > 1 THEN doc_id || '#' || i ELSE doc_id::VARCHAR END AS chunk_id, first::INT AS first, stop::INT AS stop, md5(array_to_string(parts[first + 1:stop], ' ')) AS digest
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS k FROM r) JOIN u USING (doc_id)""",
+)
 def window_pack(spark, sf_dir):
     return chunks.pack_windows(read(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "window_index", "window_count", "chunk_id", "first", "stop", F.md5("text").alias("digest"))
 
 
 @query(
     "span_containment",
-    r"""WITH t AS (SELECT doc_id, n_chars, unnest(range(0, 40)) AS k FROM documents), s AS (SELECT doc_id, k, k * 13 AS a, k * 13 + 9 AS b FROM t WHERE k * 13 + 9 <= n_chars),
-    w AS (SELECT doc_id, unnest(range(0, 6)) AS w FROM documents)
-    SELECT s.doc_id, k::INT AS k, w::INT AS w, (a - w * 80)::INT AS start_char, (b - w * 80)::INT AS end_char FROM s JOIN w USING (doc_id) WHERE a >= w * 80 AND b <= w * 80 + 100""",
+    """WITH s AS (SELECT doc_id, unnest(range(0, n_chars, 13)) AS a, n_chars FROM documents), w AS (SELECT doc_id, unnest(range(0, n_chars, 80)) AS w FROM documents)
+    SELECT s.doc_id, (a // 13)::INT AS k, (w // 80)::INT AS w, (a - w)::INT AS start_char, (a + 9 - w)::INT AS end_char FROM s JOIN w USING (doc_id) WHERE a + 9 <= n_chars AND a >= w AND a + 9 <= w + 100""",
 )
 def span_containment(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents")
-    spans = docs.select("doc_id", "n_chars", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("k"))
-    spans = spans.select("doc_id", "k", (F.col("k") * 13).alias("start"), (F.col("k") * 13 + 9).alias("end"), "n_chars").filter("end <= n_chars").drop("n_chars")
-    windows = docs.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("w")).select("doc_id", "w", (F.col("w") * 80).alias("w_start"), (F.col("w") * 80 + 100).alias("w_end"))
+    docs = read(spark, sf_dir, "documents").filter("n_chars > 0")
+    places = lambda step: F.explode(F.sequence(F.lit(0), ((F.col("n_chars") - 1) / step).cast("int")))
+    spans = docs.select("doc_id", "n_chars", places(13).alias("k")).withColumn("start", F.col("k") * 13).withColumn("end", F.col("start") + 9).filter("end <= n_chars").drop("n_chars")
+    windows = docs.select("doc_id", places(80).alias("w")).select("doc_id", "w", (F.col("w") * 80).alias("w_start"), (F.col("w") * 80 + 100).alias("w_end"))
     return chunks.contained(spans, windows, "doc_id").select("doc_id", "k", "w", F.col("start").alias("start_char"), F.col("end").alias("end_char"))
 
 
-@query("uuid5_ids")
+@query(
+    "uuid5_ids",
+    f"""SELECT doc_id, concat_ws('-', h[1:8], h[9:12], '5' || h[14:16], translate(h[17:17], '0123456789abcdef', '89ab89ab89ab89ab') || h[18:20], h[21:32]) AS id
+    FROM (SELECT doc_id, sha1(unhex('{NAMESPACE.replace("-", "")}') || encode(doc_id || ':plan:s0')) AS h FROM documents)""",
+)
 def uuid5_ids(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", tx.uuid5(NAMESPACE, F.concat(F.col("doc_id").cast("string"), F.lit(":plan:s0"))).alias("id"))
 
 
+HEADED = "'lead HPI: ' || text || ' NOTE: n PLAN, : ' || source || ', HPI: ' || lang || ' PLAN: , '"
+_STRIP = lambda x: rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+_TITLE = lambda x: _STRIP(f"regexp_replace({_STRIP(x)}, ',+$', '')")
+_BODY = lambda x: _STRIP(rf"regexp_replace({_STRIP(rf'regexp_replace({x}, {chr(39)}^[ ,\t\n]+{chr(39)}, {chr(39) * 2})')}, ',+$', '')")
+_HEADING = r"'\b([A-Z][A-Z0-9 ,/&''\-]{2,78}):'"
+
+
+def _headed(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", F.expr("concat('lead HPI: ', text, ' NOTE: n PLAN, : ', source, ', HPI: ', lang, ' PLAN: , ')").alias("text"))
+
+
 @query(
     "section_split",
+    f"""WITH p AS (SELECT doc_id, unnest(string_split(m, chr(1))) AS piece, generate_subscripts(string_split(m, chr(1)), 1) AS pos FROM (SELECT doc_id, regexp_replace({HEADED}, {_HEADING}, chr(1) || '\\1' || chr(2), 'g') AS m FROM documents)),
+    h AS (SELECT doc_id, pos, split_part(piece, chr(2), 1) AS raw, split_part(piece, chr(2), 2) AS body, {_TITLE("split_part(piece, chr(2), 1)")} AS heading FROM p WHERE pos > 1),
+    g AS (SELECT *, heading IN ('HPI', 'PLAN') AS ok, sum((heading IN ('HPI', 'PLAN'))::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS grp FROM h),
+    b AS (SELECT doc_id, grp, max(CASE WHEN ok THEN heading END) AS section_type, string_agg(CASE WHEN ok THEN body ELSE raw || ':' || body END, '' ORDER BY pos) AS body FROM g WHERE grp > 0 GROUP BY 1, 2),
+    t AS (SELECT doc_id, section_type, min(grp) AS place, string_agg(body, chr(10) ORDER BY grp) AS text FROM (SELECT doc_id, grp, section_type, {_BODY("body")} AS body FROM b) WHERE body <> '' GROUP BY 1, 2)
+    SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1)::INT AS section_pos, doc_id || ':' || lower(section_type) AS chunk_id, section_type, md5(text) AS digest FROM t""",
+)
+def section_split(spark, sf_dir):
+    allowed = spark.createDataFrame([("HPI",), ("PLAN",)], "heading string")
+    return sections.split_sections(_headed(spark, sf_dir), allowed).select("doc_id", "section_pos", "chunk_id", "section_type", F.md5("text").alias("digest"))
+
+
+@query(
+    "heading_frequency",
+    f"""SELECT term, count(*) AS n_docs FROM (SELECT DISTINCT doc_id, {_TITLE("h")} AS term FROM (SELECT doc_id, unnest(regexp_extract_all({HEADED}, {_HEADING}, 1)) AS h FROM documents))
+    WHERE term <> '' AND len(string_split(term, ' ')) <= 8 GROUP BY term HAVING count(*) >= 2""",
+)
+def heading_frequency(spark, sf_dir):
+    return clean.document_frequency(_headed(spark, sf_dir), "doc_id", F.filter(sections.headings("text"), lambda h: h != ""), 2, 8)
+
+
+@query(
+    "paragraph_split",
     r"""WITH l AS (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
     SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1)::INT AS section_pos, md5(line) AS digest FROM l WHERE line <> ''""",
 )
-def section_split(spark, sf_dir):
+def paragraph_split(spark, sf_dir):
     return sections.split_paragraphs(read(spark, sf_dir, "documents")).select("doc_id", "section_pos", F.md5("text").alias("digest"))
 
 
+@query("abbreviation_keys", r"""SELECT p_partkey, upper(regexp_replace(' (' || p_brand || '.;]" ', '^[\s.,;:()\[\]{}''"]+|[\s.,;:()\[\]{}''"]+$', '', 'g')) AS key FROM part""")
+def abbreviation_keys(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", tx.abbreviation_key(F.concat(F.lit(" ("), "p_brand", F.lit('.;]" '))).alias("key"))
+
+
+@query("escaped_queries", r"""SELECT p_partkey, regexp_replace(p_name || ' (a+b) "q" ~x*? \ [y]', '([+\-!(){}\[\]^"~*?:\\/&|])', '\\\1', 'g') AS escaped FROM part""")
+def escaped_queries(spark, sf_dir):
+    return read(spark, sf_dir, "part").select("p_partkey", tx.escape_query(F.concat("p_name", F.lit(' (a+b) "q" ~x*? \\ [y]'))).alias("escaped"))
+
+
+@query(
+    "token_expansions",
+    """SELECT p_partkey, array_to_string(list_sort(list_transform(list_filter(list_distinct(regexp_extract_all(p_name || ' ED/x', '[A-Za-z0-9]+')), lambda t: upper(t) IN ('RED', 'BLUE', 'ED')),
+    lambda t: t || '=' || CASE upper(t) WHEN 'RED' THEN 'scarlet hue' WHEN 'BLUE' THEN 'azure' ELSE 'emergency department' END)), '|') AS found FROM part""",
+)
+def token_expansions(spark, sf_dir):
+    known = F.create_map(*[F.lit(x) for x in ("RED", "scarlet hue", "BLUE", "azure", "ED", "emergency department")])
+    rows = read(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.lit(" ED/x")).alias("raw"), known.alias("known"))
+    entries = F.transform(F.map_entries(tx.token_expansions("raw", "known")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return rows.select("p_partkey", F.array_join(F.array_sort(entries), "|").alias("found"))
+
+
+@query("match_labels", "SELECT o_orderkey, 'fulltext/' || printf('%.1f', o_totalprice / 7) AS full_text, 'vector/' || printf('%.3f', o_totalprice / 700001) AS vector FROM orders")
+def match_labels(spark, sf_dir):
+    from textloom.functions.text import match_label
+
+    price = F.col("o_totalprice")
+    return read(spark, sf_dir, "orders").select("o_orderkey", match_label("fulltext", price / 7).alias("full_text"), match_label("vector", price / 700001).alias("vector"))
+
+
 @query("work_weight", "SELECT source, greatest(sum(length(text)), 1)::BIGINT AS weight FROM documents GROUP BY source")
 def work_weight(spark, sf_dir):
     return shards.work_weight(read(spark, sf_dir, "documents"), "source", "text")
 
 
-@query("lpt_shards")
+@query(
+    "lpt_shards",
+    """WITH RECURSIVE w AS (SELECT doc_id, n_chars, greatest(n_chars, 1) AS w, row_number() OVER (ORDER BY greatest(n_chars, 1) DESC, doc_id) AS i FROM documents),
+    r(i, doc_id, n_chars, bin, loads) AS (SELECT 0::BIGINT, -1::BIGINT, 0::BIGINT, -1::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]
+      UNION ALL SELECT w.i, w.doc_id, w.n_chars, list_position(loads, list_min(loads)) - 1, list_transform(loads, lambda x, k: CASE WHEN k = list_position(loads, list_min(loads)) THEN x + w.w ELSE x END) FROM r JOIN w ON w.i = r.i + 1)
+    SELECT doc_id, n_chars, bin::INT AS bin FROM r WHERE i > 0""",
+)
 def lpt_shards(spark, sf_dir):
     return shards.balanced(read(spark, sf_dir, "documents").select("doc_id", "n_chars"), 8, "n_chars", ["doc_id"])
 

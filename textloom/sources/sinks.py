@@ -31,8 +31,11 @@ def documents(df: DataFrame, path: str) -> None:
 
 
 def graph_csv(df: DataFrame, path: str, table: str) -> None:
+    """The rows as headless parts, and the header as a file of its own beside them, as bulk importers read it once."""
     named = df.select(*[F.col(c).alias(h) for c, h in HEADERS[table].items()])
-    named.write.mode("overwrite").options(header=True, quoteAll=False, escape='"').csv(path)
+    named.write.mode("overwrite").options(header=False, quoteAll=False, escape='"').csv(f"{path}/rows")
+    head = df.sparkSession.createDataFrame([(",".join(named.columns),)], "value string")
+    head.coalesce(1).write.mode("overwrite").text(f"{path}/header")
 
 
 def snapshot(df: DataFrame, path: str, key: str = "text") -> None:
@@ -62,14 +65,14 @@ def drop_layer(spark: SparkSession, root: str, tables: list[str]) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def require(spark: SparkSession, paths: list[str]) -> None:
     """Fails with the names of inputs that are not there."""
-    jvm = spark.sparkContext._jvm
-    missing = []
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            missing.append(p)
+    missing = [p for p in paths if not exists(spark, p)]
     if missing:
         raise FileNotFoundError(", ".join(missing))
 
