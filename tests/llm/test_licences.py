@@ -24,3 +24,31 @@ def test_cases(spark):
     assert {(r.doc_id, r.line) for r in licences.notices(docs, model).collect()} >= {(4, 1), (4, 0), (6, 0), (6, 1)}
     empty = docs.limit(0)
     assert licences.scan(empty, licences.train(empty)).count() == 0
+
+
+OTHERS = {
+    "cc-by-sa": "This article is licensed under CC BY-SA 4.0",
+    "lgpl": "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, version 3",
+    "agpl": "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, version 3 of the License",
+    "isc": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted",
+    "bsd": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+    "unlicense": "This is free and unencumbered software released into the public domain",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    "apache-2.0": "you may not use this file except in compliance with the License. Licensed under the Apache License, Version 2.0",
+}
+REFUSED = ("The author rejected the Apache License, Version 2.0 proposal", "we do not grant the rights of the GNU General Public License to anyone", "The article compares the MIT License with others")
+
+
+def test_other_wordings_and_refusals():
+    model = licences.fit(PLAIN)
+    judged = {want: model.judge(licences.words_of(text))[0] for want, text in OTHERS.items()}
+    assert {w: g for w, g in judged.items() if w != g} == {}
+    assert [model.judge(licences.words_of(t))[0] for t in REFUSED] == ["unknown"] * len(REFUSED)
+
+
+def test_ties_and_probabilities():
+    model = licences.fit(PLAIN)
+    p = model.probabilities(model.grams(licences.words_of("Released under the MIT License.")))
+    assert abs(p.sum() - 1) < 1e-9 and len(p) == len(licences.FAMILIES)
+    flat = licences.Model({}, model.w[:0], model.bias * 0, 1.0)
+    assert flat.judge(["any", "words"])[0] == "unknown"

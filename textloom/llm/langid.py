@@ -30,7 +30,6 @@ from textloom.runtime import ship
 
 SAMPLE_DOCS = 300
 SAMPLE_WORDS = 6_000
-MOST_LANGUAGES = 200
 STRETCH = 32
 REMEMBERED = 200_000
 HIDDEN, EMBED = 12, 8
@@ -172,12 +171,12 @@ def fit(words: list[bytes], y: np.ndarray, n_out: int, steps: int = STEPS, seed:
 def labelled_words(docs: DataFrame) -> list[tuple[str, bytes]]:
     """(language, word) of a bounded, hash-chosen sample of the rows that may be learned from.
 
-    The number of languages is bounded too: the MOST_LANGUAGES most frequent ones. Words are sampled where they are
-    read, so the driver gets SAMPLE_WORDS a language in expectation, whatever the lengths of the texts.
+    Every language that occurs is learned. Words are sampled where they are read, so the driver gets SAMPLE_WORDS a
+    language in expectation, whatever the lengths of the texts.
     """
     ship(docs.sparkSession)
     rows = docs.filter(~held_out() & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, SAMPLE_DOCS / n))])

@@ -1,7 +1,7 @@
 """Licence notices in documents: a trained classifier of paragraphs, confirmed against templates.
 
 A paragraph is a line with a word in it; longer ones are read in overlapping windows of ``WINDOW`` words. A softmax
-regression on word 1- and 2-grams (kept only if rare outside the templates) gives each paragraph a licence family or
+regression on word 1- and 2-grams (of templates and refusals, kept only if rare in the corpus) gives each paragraph a licence family or
 ``unknown``. It is trained here on varied copies of the templates below (words dropped, replaced, cut out of longer
 text) and, for ``unknown``, on at most ``SAMPLE`` paragraphs of the corpus that look like no template, and on
 sentences that speak of licences without granting one. Its temperature is fitted on a part kept from training, so
@@ -38,19 +38,46 @@ TEMPLATES = {
     ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
         "Licensed under the BSD 3-Clause License. SPDX-License-Identifier: BSD-3-Clause",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
     ),
     "cc-by": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0.",
-        "Content is available under the Creative Commons Attribution License CC BY-SA 4.0 unless otherwise noted.",
+        "Content is available under the Creative Commons Attribution License CC BY 4.0 unless otherwise noted.",
     ),
     "cc-by-nc": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "Licensed under CC BY-NC-SA 4.0; non-commercial use only.",
     ),
+    "cc-by-sa": (
+        "Licensed under CC BY-SA 4.0.",
+        "CC BY-SA 4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "Content is available under the Creative Commons Attribution-ShareAlike License CC BY-SA 3.0 unless otherwise noted.",
+    ),
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "Licensed under the GNU Affero General Public License, version 3. SPDX-License-Identifier: AGPL-3.0-only",
+        "GNU Affero General Public License",
+    ),
+    "lgpl": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+        "Licensed under the GNU Lesser General Public License, version 3. SPDX-License-Identifier: LGPL-3.0-or-later",
+        "GNU Lesser General Public License",
+    ),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Released under the ISC License. SPDX-License-Identifier: ISC",
+    ),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "Released under the Unlicense. SPDX-License-Identifier: Unlicense",
+    ),
     "gpl": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
@@ -77,12 +104,17 @@ OTHER = (
     "All rights reserved.",
     "You may not use this form without permission of the editor.",
     "The committee on creative arts met in the common room.",
+    "The author rejected the Apache License, Version 2.0 proposal.",
+    "They decided against the MIT License and do not grant the rights of the GNU General Public License.",
+    "This file is not licensed under the Apache License or any Creative Commons Attribution licence.",
+    "The article compares the GNU Affero General Public License with the Mozilla Public License and the BSD licence.",
+    "Nobody may redistribute this program; it is neither free software nor in the public domain.",
     "Distributed systems need careful design and this work is one of many.",
 )
 FAMILIES = ("unknown", *TEMPLATES)
 SAMPLE = 4000
 WINDOW, STRIDE = 64, 32
-COPIES, EPOCHS = 60, 8
+COPIES, EPOCHS = 60, 16
 LEAST, SHARED = 0.8, 0.5
 WORD = re.compile(r"\w+")
 
@@ -185,9 +217,9 @@ def fit(corpus: list[str], seed: int = 1) -> Model:
                 rows.append(varied(words_of(template), corpus_words, rng))
                 y.append(k)
     seen, common = Counter(), Counter()
-    for words, k in zip(rows, y, strict=True):
-        (seen if k else common).update({*words, *bigrams(words)})
-    rare = max(1.0, 0.01 * sum(k == 0 for k in y))
+    for i, words in enumerate(rows):
+        (common if i < len(corpus_words) else seen).update({*words, *bigrams(words)})
+    rare = max(1.0, 0.01 * len(corpus_words))
     index = {g: i for i, g in enumerate(sorted((g for g, n in seen.items() if n >= COPIES // 4 and common[g] <= rare), key=str))}
     model = Model(index, np.zeros((len(index), len(FAMILIES))), np.zeros(len(FAMILIES)), 1.0)
     at, target = [model.grams(words) for words in rows], np.array(y)

@@ -6,7 +6,7 @@ level 2 the corpus's other keys that level 1 lets through, level 3 the listed ke
 on until a level lets nothing wrong through. A key is listed if the number of levels it passes in a row is odd.
 
 Cases: a null url, or one without ``://``, has an empty host and path and no key, so it gets no rule and the default
-verdict; an empty table or list gives cascades without levels; equal urls get equal rows; other columns are not read.
+verdict; lists are parameters, and one whose filters would be over MAX_LEVEL_BITS is refused; an empty table or list gives cascades without levels; equal urls get equal rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/
 LISTED_NAMES = ("ads-track", "free-bets", "cheap-pills", "spam-farm", "casino-win", "adult-x")
 LISTED_HOSTS = tuple(f"{name}.example.{end}" for name in LISTED_NAMES for end in ("com", "net", "org"))
 
-#: A level of more bits than this is not sent to every task; membership is then found by a join instead.
+#: A level is sent to every task, so lists whose filters would be larger than this many bits are refused.
 MAX_LEVEL_BITS = 1 << 25
 
 
@@ -77,7 +77,7 @@ def build_level(keys: DataFrame, n: int, rate: float, salt: int) -> Level:
     """A filter of column key's n values that lets others through at about ``rate``. Collects bits/8 bytes at most."""
     bits = max(64, -(-int(-n * math.log(rate) / math.log(2) ** 2) // 64) * 64)
     if bits > MAX_LEVEL_BITS:
-        raise OverflowError(bits)
+        raise ValueError(f"a level of {bits} bits is over MAX_LEVEL_BITS = {MAX_LEVEL_BITS}: split the list")
     level = Level(bits, max(1, round(bits / n * math.log(2))) if n else 1, salt)
     level.hashes = min(level.hashes, 30)
     places = keys.select(F.explode(level.places(F.col("key"))).alias("p"))
@@ -106,14 +106,18 @@ def build_cascade(listed: DataFrame, universe: DataFrame, salt: int = 0) -> Casc
     listed = listed.join(universe, "key", "left_semi").cache()
     n_listed, n_all = listed.count(), universe.count()
     if not n_listed:
+        listed.unpersist()
         return Cascade([])
     encode, against, n = listed, universe.join(listed, "key", "left_anti"), n_listed
-    rate, levels = min(0.5, n_listed / (1.5 * max(1, n_all - n_listed))), []
+    rate, levels, held = min(0.5, n_listed / (1.5 * max(1, n_all - n_listed))), [], [listed]
     while n:
         level = build_level(encode, n, rate, salt * 100 + len(levels))
         levels.append(level)
         through = against.filter(level.passes(F.col("key"))).cache()
+        held.append(through)
         encode, against, n, rate = through, encode, through.count(), 0.5
+    for table in held:
+        table.unpersist()
     return Cascade(levels)
 
 
@@ -125,23 +129,10 @@ def judge(pages: DataFrame, rules: tuple = RULES, listed_hosts: tuple = LISTED_H
     universe = urls.select(F.explode("keys").alias("key")).distinct().cache()
     lists = {"block": [k for v, k in rules if v == "block"], "allow": [k for v, k in rules if v == "allow"], "listed": list(listed_hosts)}
     tables = {name: spark.createDataFrame([(k,) for k in dict.fromkeys(some)], "key string") for name, some in lists.items()}
-    try:
-        has = {name: build_cascade(table, universe, salt).has for salt, (name, table) in enumerate(tables.items())}
-        found = urls.withColumns({name: F.filter("keys", member) for name, member in has.items()})
-    except OverflowError:  # lists of more keys than filters may hold: the same sets by joins
-        found = _joined(urls, tables)
+    has = {name: build_cascade(table, universe, salt).has for salt, (name, table) in enumerate(tables.items())}
+    universe.unpersist()
+    found = urls.withColumns({name: F.filter("keys", member) for name, member in has.items()})
     key = F.filter("keys", lambda k: F.array_contains("block", k) | F.array_contains("allow", k))
     ruled = found.withColumn("rule", F.get(key, F.lit(0)))
     verdict = F.when(F.col("rule").isNotNull(), F.when(F.array_contains("block", F.col("rule")), "block").otherwise("allow"))
     return ruled.select("page_id", "host", "path", "rule", F.coalesce(verdict, F.when(F.size("listed") > 0, "block").otherwise("allow")).alias("verdict"))
-
-
-def _joined(urls: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    rows = urls.withColumn("row", F.struct("page_id", "host", "path", "keys"))
-    marks = None
-    for name, table in tables.items():
-        some = table.withColumn("list", F.lit(name))
-        marks = some if marks is None else marks.unionByName(some)
-    one = rows.select("row").distinct().withColumn("key", F.explode_outer("row.keys")).join(marks, "key", "left")
-    per = one.groupBy("row").agg(*[F.collect_list(F.when(F.col("list") == n, F.col("key"))).alias(n) for n in tables])  # as many as a row has keys
-    return rows.select("row").join(per, "row").select("row.*", *tables)
