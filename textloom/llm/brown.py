@@ -40,9 +40,10 @@ from textloom.runtime import discard, materialize, ship
 
 CLUSTERED = 1500
 CLASSES = 48
-KNOWN = 60_000
+KNOWN = 150_000
 ADD = 0.1
-FLUSH = 300_000
+#: A task passes on what it has counted at so many distinct words, or at so many occurrences.
+FLUSH, HELD = 300_000, 8_000_000
 
 
 def held_out():
@@ -181,7 +182,7 @@ def contexts(docs: DataFrame, class_of: dict[bytes, int], classes: int) -> DataF
                 for i in other:
                     held[ws[i]] += path[i : i + 3 : 2]
                 size += len(other)
-                if size > FLUSH:
+                if len(held) > FLUSH or size > HELD:
                     yield flush()
                     size = 0
         yield flush()
