@@ -59,6 +59,24 @@ def test_mixing_stage_keeps_what_is_not_toxic(spark, stages):
     assert len(before - set(after) - toxic) <= 0.1 * len(before) and set(after) <= before
 
 
+def test_stages_on_odd_rows(spark):
+    plain = "the river runs by the old mill and the town in the early morning light of spring"
+    rows = [(1, None), (2, ""), (3, "12 !?"), (4, plain), (4, plain), (None, plain + " again"), (None, "quite another text about something else"), (5, "long " * 30_000), (6, plain.upper() + " x y z")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, copy string, row int, _id int"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "c", 1, 2) for i, t in rows], schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SMALL).count() == 0, name
+    first = corpus_pipeline.language_id(spark, docs, SMALL)
+    assert first.columns == docs.columns and sorted(r.doc_id or 0 for r in first.collect()) == [0, 0, 4, 4, 5, 6]
+    second = corpus_pipeline.near_dedup(spark, docs, SMALL)
+    assert second.columns == docs.columns and sum(r.doc_id == 4 for r in second.collect()) == 1
+    assert {r.text for r in second.collect()} >= {None, "12 !?", rows[6][1], rows[7][1]}
+    third = corpus_pipeline.mixing_stage(spark, docs, SMALL)
+    assert third.columns == docs.columns and {r.text for r in third.collect()} <= {t for _, t in rows}
+    fourth = corpus_pipeline.bpe_stage(spark, docs, SMALL)
+    assert fourth.count() == len(rows) and {r.n_tokens for r in fourth.collect() if r.doc_id in (1, 2)} == {0}
+
+
 def test_bpe_stage_is_the_plain_encoding(spark, stages):
     texts = {r.doc_id: r.text for r in stages[2][1].collect()}
     coder = bpe.encoder(corpus_pipeline.public_tokenizers.path("byte_bpe_50k.json"))
