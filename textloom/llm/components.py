@@ -15,20 +15,22 @@ def components(links: DataFrame) -> DataFrame:
     least of its neighbours and itself, then every node links its smaller neighbours and itself to the least of them
     (Kiveris et al. 2014). Both keep components whole; what is left are stars around their least nodes. A node's
     neighbours are never put into one row: the least of them is an aggregate, and each goes on as a row of its own.
-    Each round is written to the shared folder.
+    The least ones are a written table when they are joined, so that adaptive execution can split a node that a large
+    part of all links name. Each round is written to the shared folder.
     """
     pairs = links.select("a", "b").filter("a <> b")
     now = materialize(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = materialize(large, "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        discard(least)
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         after = materialize(small.filter("u <> v").distinct(), "links")
         left = now.join(after, ["u", "v"], "left_anti").limit(1).count() + after.join(now, ["u", "v"], "left_anti").limit(1).count()
-        discard(large, now)
+        discard(large, least, now)
         now = after
         if not left:
             break

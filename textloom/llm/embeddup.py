@@ -193,7 +193,7 @@ def classes(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     counts = tiles.groupBy("node").agg(F.sum("n").alias("n"))
     per = nodes.select("node", "embedding", "times", "least").join(counts, "node", "left").join(roots, "node", "left")
     per = materialize(per.select("embedding", "least", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")), "per")
-    names = per.groupBy("root").agg(F.min("least").alias("component_id"))
+    names = materialize(per.groupBy("root").agg(F.min("least").alias("component_id")), "names")
     named = per.join(names, "root").select("embedding", "n_links", "component_id")
     done = good.join(named, "embedding").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

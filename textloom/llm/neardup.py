@@ -304,8 +304,8 @@ def classed(docs: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, n_links (other texts linked directly), kept (the document that stands for the class)."""
-    named = classed(docs)
-    names = named.groupBy("root").agg(first_of_class())
+    named = materialize(classed(docs), "classed")
+    names = materialize(named.groupBy("root").agg(first_of_class()), "names")  # written: a join of tables can split a large class
     return named.join(names, "root").select("doc_id", F.col("first.doc_id").alias("class_id"), "n_links", (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node"))).alias("kept"))
 
 
