@@ -35,7 +35,7 @@ def ship(spark: SparkSession) -> None:
     Batches for Python are bounded by their bytes, unless the session says otherwise: texts differ much in length.
     """
     if spark.conf.get(BATCH_BYTES) == "67108864b":
-        spark.conf.set(BATCH_BYTES, "16m")
+        spark.conf.set(BATCH_BYTES, "4m")
     sc = spark.sparkContext
     if getattr(sc, "_textloom_shipped", False):
         return
@@ -47,6 +47,21 @@ def ship(spark: SparkSession) -> None:
     sc._textloom_shipped = True
 
 
+_resident: dict = {}
+
+
+def resident(build, *args):
+    """What ``build(*args)`` gives, kept in this process until another is asked for.
+
+    A worker process serves the tasks of many stages: it holds the model or memory of one operator at a time.
+    """
+    key = (build, *args)
+    if key not in _resident:
+        _resident.clear()
+        _resident[key] = build(*args)
+    return _resident[key]
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. A local master has one of its own where it is unset."""
     sc = spark.sparkContext
