@@ -16,7 +16,6 @@ get equal rows; an empty table gives an empty result; other columns are not read
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import sys
@@ -27,7 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from textloom.runtime import ship
+from textloom.runtime import resident, ship
 
 # Fixed value: the pattern by which byte-level vocabularies of this kind split text.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -245,10 +244,9 @@ class Encoder:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@functools.cache
 def encoder(path: str) -> Encoder:
-    """One encoder in each Python process."""
-    return Encoder(path)
+    """The encoder that this process keeps."""
+    return resident(Encoder, path)
 
 
 def digests(path: str, texts: Iterator[str | None]) -> Iterator[tuple[int, str, str]]:

@@ -15,7 +15,6 @@ empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import functools
 import pickle
 import re
 import zlib
@@ -26,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.runtime import ship
+from textloom.runtime import resident, ship
 
 SAMPLE_DOCS = 300
 SAMPLE_WORDS = 6_000
@@ -256,17 +255,12 @@ class Labeller:
                 yield self.langs[best], float(min(1.0, share[best]))
 
 
-@functools.lru_cache(2)
-def _labeller(model: bytes) -> Labeller:
-    return Labeller(model)
-
-
 def identify(docs: DataFrame, model: bytes) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every whole text. Only the text is read for a prediction."""
     ship(docs.sparkSession)
 
     def run(batches):
-        labeller = _labeller(model)
+        labeller = resident(Labeller, model)
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for i in range(0, len(ids), 256):
@@ -284,7 +278,7 @@ def accept(docs: DataFrame, model: bytes, least: float = 0.5) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        labeller = _labeller(model)
+        labeller = resident(Labeller, model)
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)

@@ -28,7 +28,6 @@ whatever their names.
 
 from __future__ import annotations
 
-import functools
 import pickle
 import re
 from collections import Counter
@@ -38,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.runtime import discard, materialize, ship
+from textloom.runtime import discard, materialize, resident, ship
 
 DOMAINS = ("high", "low", "toxic")
 WEIGHTS = (0.70, 0.27, 0.03)
@@ -130,11 +129,6 @@ def train(docs: DataFrame, labels: DataFrame) -> bytes:
     return pickle.dumps(fit([r["text"] for r in sample], np.array([r["domain"] for r in sample], int), len(DOMAINS)) if sample else None)
 
 
-@functools.lru_cache(2)
-def _loaded(model: bytes) -> Classifier | None:
-    return pickle.loads(model)
-
-
 P = [f"p_{d}" for d in DOMAINS]
 
 
@@ -147,7 +141,7 @@ def posteriors(docs: DataFrame, model: bytes, keep: str = "doc_id") -> DataFrame
     schema = f"{keep} {rows.schema[0].dataType.simpleString()}, n_tokens long, " + ", ".join(f"{p} double" for p in P)
 
     def run(batches):
-        classifier = _loaded(shared.value)
+        classifier = resident(pickle.loads, shared.value)
         even = np.full(len(DOMAINS), 1 / len(DOMAINS))
         for batch in batches:
             texts = [t.as_py() for t in batch.column(1)]

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.components import components
-from textloom.runtime import discard, materialize, ship, unused
+from textloom.runtime import discard, materialize, resident, ship, unused
 
 K = 5
 SIMILARITY = 0.8
@@ -47,7 +47,7 @@ TAKEN = 3
 #: Texts and k-mers in each side of a tile, in expectation; a longer text is a block of its own.
 TILE = 2048
 TILE_KMERS = 1_000_000
-LONG = 50_000
+LONG = 8_192
 WORDS = re.compile(r"\w+")
 _rng = np.random.default_rng(24)
 SEEDS = _rng.integers(1, 1 << 63, (SKETCHES, 2), dtype=np.uint64) | np.uint64(1)
@@ -65,9 +65,6 @@ class WordHash(dict):
         return value
 
 
-_words = WordHash()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * _MIX
     return x ^ (x >> np.uint64(29))
@@ -76,7 +73,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def kmers(text: str | None) -> np.ndarray:
     """The hashed, occurrence-labelled k-mers of a whole text, in order."""
     words = WORDS.findall((text or "").lower())
-    h = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(resident(WordHash).__getitem__, words), np.uint64, len(words))
     if not len(h):
         return h
     n = max(1, len(h) - K + 1)
