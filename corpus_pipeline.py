@@ -14,7 +14,7 @@ from textloom.runtime import materialize, read
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps texts with letters whose language is more likely than all others together.
+    """Keeps texts with letters whose likeliest language has a mean probability of at least 0.3.
 
     Null, empty and letterless texts go; long texts are read whole; ties go to the first language; repeated rows are
     each judged; all columns stay, whatever their names; without labelled rows nothing has a language; an empty table
