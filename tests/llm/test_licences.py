@@ -52,3 +52,35 @@ def test_ties_and_probabilities():
     assert abs(p.sum() - 1) < 1e-9 and len(p) == len(licences.FAMILIES)
     flat = licences.Model({}, model.w[:0], model.bias * 0, 1.0)
     assert flat.judge(["any", "words"])[0] == "unknown"
+
+
+def test_wrapped_notices_are_found_once():
+    model = licences.fit(PLAIN)
+    for family, text in (("mit", licences.TEMPLATES["mit"][2]), ("apache-2.0", licences.TEMPLATES["apache-2.0"][2]), ("gpl", licences.TEMPLATES["gpl"][1])):
+        words = text.split()
+        for width in (3, 4):
+            lines = [" ".join(words[i : i + width]) for i in range(0, len(words), width)]
+            for before, after in (([], []), (PLAIN[:1], []), ([*PLAIN[:9], ""], ["", *PLAIN[:9]])):
+                _, found = licences.grants("\n".join([*before, *lines, *after]), model.judge)
+                assert {f[1] for f in found} == {family}, (family, width, len(before), found)
+    assert licences.grants("\n".join(PLAIN * 30), model.judge) == (len(PLAIN) * 30, [])
+    cut = licences.TEMPLATES["mit"][0].split()
+    assert licences.grants("\n\n".join(cut), model.judge)[1] == []  # an empty line ends a paragraph
+
+
+def test_windows_over_lines_are_those_of_a_plain_rule():
+    """Every run of lines without a notice is read in windows of WINDOW words, STRIDE apart, and its end."""
+    seen = []
+
+    def judge(words):
+        seen.append(tuple(words))
+        return ("mit" if "notice" in words and len(words) == 1 else "unknown", 0.9, 1.0)
+
+    lines = [" ".join(f"w{i}x{j}" for j in range(n)) for i, n in enumerate((5, 40, 30, 1, 70, 8))]
+    assert licences.grants("\n".join([*lines, "notice", "a b", "c", "", "d"]), judge) == (11, [(6, "mit", 0.9, 1.0)])
+    run = " ".join(lines).split()
+    want = [tuple(run[i : i + 64]) for i in range(0, len(run) - 63, 32)]
+    want.append(tuple(run[32 * len(want) :]))
+    own = lambda part: len({w.split("x")[0] for w in part})
+    assert [w for w in want if own(w) > 1] == [s for s in seen if own(s) > 1 and s[0] in run]
+    assert ("a", "b", "c") in seen and ("c", "d") not in seen

@@ -1,6 +1,8 @@
 """Licence notices in documents: a trained classifier of paragraphs, confirmed against templates.
 
-A paragraph is a line with a word in it; longer ones are read in overlapping windows of ``WINDOW`` words. A softmax
+A paragraph is a run of lines without an empty one between them. Each of its lines is judged, longer ones in overlapping
+windows of ``WINDOW`` words; then, since notices may be wrapped, windows over the ends of those lines that were judged
+``unknown``. A softmax
 regression on word 1- and 2-grams (of templates and refusals, kept only if rare in the corpus) gives each paragraph a licence family or
 ``unknown``. It is trained here on varied copies of the templates below (words dropped, replaced, cut out of longer
 text) and, for ``unknown``, on at most ``SAMPLE`` paragraphs of the corpus that look like no template, and on
@@ -19,7 +21,7 @@ import functools
 import pickle
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -114,7 +116,7 @@ OTHER = (
 FAMILIES = ("unknown", *TEMPLATES)
 SAMPLE = 4000
 WINDOW, STRIDE = 64, 32
-COPIES, EPOCHS = 60, 16
+COPIES, EPOCHS = 80, 24
 LEAST, SHARED = 0.8, 0.5
 WORD = re.compile(r"\w+")
 
@@ -123,16 +125,50 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def paragraphs(text: str | None) -> Iterator[tuple[int, list[str]]]:
-    """(number of the line, words) of every paragraph or window of it."""
+def windows(words: list[str]) -> Iterator[list[str]]:
+    """A line's words, in overlapping windows if they are many."""
+    if len(words) <= WINDOW:
+        if words:
+            yield words
+        return
+    for i in range(0, len(words) - STRIDE, STRIDE):
+        yield words[i : i + WINDOW]
+
+
+def grants(text: str | None, judge: Callable[[list[str]], tuple[str, float, float]]) -> tuple[int, list[tuple]]:
+    """How many lines or windows of lines a text has, and its notices: (number of the first line, *judgement).
+
+    Words of lines without a notice wait until WINDOW of them are there, or the paragraph or the run of such lines ends;
+    if they are of several lines, they are judged together. Without a notice, the latest STRIDE words wait on.
+    """
+    n, found = 0, []
+    waiting: list[str] = []
+    lines: list[int] = []
+
+    def close(size: int, kept: int) -> None:
+        if lines and lines[0] != lines[min(size, len(lines)) - 1]:
+            got = judge(waiting[:size])
+            if got[0] != "unknown":
+                found.append((lines[0], *got))
+                kept = 0
+        drop = size - kept
+        del waiting[:drop], lines[:drop]
+
     for at, line in enumerate((text or "").split("\n")):
         words = words_of(line)
-        if len(words) <= WINDOW:
-            if words:
-                yield at, words
+        judged = [judge(part) for part in windows(words)]
+        n += len(judged)
+        here = [(at, *got) for got in judged if got[0] != "unknown"]
+        if here or not words:
+            close(len(waiting), 0)
+            found += here
             continue
-        for i in range(0, max(1, len(words) - STRIDE), STRIDE):
-            yield at, words[i : i + WINDOW]
+        waiting += words
+        lines += [at] * len(words)
+        while len(waiting) >= WINDOW:
+            close(WINDOW, WINDOW - STRIDE)
+    close(len(waiting), 0)
+    return n, found
 
 
 def bigrams(words: list[str]) -> set[tuple[str, str]]:
@@ -197,9 +233,10 @@ def varied(words: list[str], others: list[list[str]], rng: np.random.Generator)
     if len(out) > 12 and rng.random() < 0.5:
         start = int(rng.integers(0, len(out) - 10))
         out = out[start : start + int(rng.integers(10, len(out) + 1))]
-    if rng.random() < 0.3 and others:
-        around = others[int(rng.integers(len(others)))][:20]
-        out = around + out if rng.random() < 0.5 else out + around
+    for front in (True, False):
+        if rng.random() < 0.25 and others:
+            around = others[int(rng.integers(len(others)))][: int(rng.integers(1, STRIDE))]
+            out = around + out if front else out + around
     return out
 
 
@@ -264,7 +301,7 @@ def _loaded(model: bytes) -> Model:
 
 
 def notices(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id, line, family, probability, overlap: every paragraph or window that grants a licence."""
+    """doc_id, line, family, probability, overlap: every line, or window over several lines, that grants a licence."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -272,7 +309,7 @@ def notices(docs: DataFrame, model: bytes) -> DataFrame:
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                out += [(doc_id, at, *got) for at, words in paragraphs(text.as_py()) if (got := judge(words))[0] != "unknown"]
+                out += [(doc_id, *notice) for notice in grants(text.as_py(), judge)[1]]
             columns = list(zip(*out, strict=True)) if out else [()] * 5
             kinds = (pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "line", "family", "probability", "overlap"])
@@ -289,11 +326,8 @@ def scan(docs: DataFrame, model: bytes) -> DataFrame:
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                n, found = 0, []
-                for _, words in paragraphs(text.as_py()):
-                    n += 1
-                    if (got := judge(words))[0] != "unknown":
-                        found.append(got)
+                n, notices_of = grants(text.as_py(), judge)
+                found = [notice[1:] for notice in notices_of]
                 best = min(found, key=lambda g: (-g[1], FAMILIES.index(g[0])), default=(None, 0.0))
                 out.append((doc_id, n, len(found), ",".join(sorted({g[0] for g in found})), best[0], best[1]))
             columns = list(zip(*out, strict=True)) if out else [()] * 6
