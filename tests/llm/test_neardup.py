@@ -96,11 +96,11 @@ def test_tile_counts_every_pair_once():
         grams = [neardup.kmers(t) for t in texts]
     n, side = len(grams), np.arange(len(grams)) % 2
     link = np.array([[i != j and neardup.aligned(grams[i], grams[j]) >= 0.8 for j in range(n)] for i in range(n)])
-    counts, label = neardup.tile_links(grams, np.empty((n, 0), np.int64), np.zeros(n, np.int64))
+    counts, label = neardup.tile_links(grams, np.empty((n, 0), np.int64), None)
     assert counts.tolist() == link.sum(1).tolist() and all(label[i] == label[j] for i, j in zip(*np.nonzero(link), strict=True))
     assert neardup.tile_links(grams, np.empty((n, 0), np.int64), side)[0].tolist() == (link & (side[:, None] != side[None, :])).sum(1).tolist()
     earlier = np.stack([np.arange(n) // 4, -np.arange(n)], 1)
-    assert neardup.tile_links(grams, earlier, np.zeros(n, np.int64))[0].tolist() == (link & (earlier[:, None, 0] != earlier[None, :, 0])).sum(1).tolist()
+    assert neardup.tile_links(grams, earlier, None)[0].tolist() == (link & (earlier[:, None, 0] != earlier[None, :, 0])).sum(1).tolist()
 
 
 def test_links_of_large_groups_are_counted_exactly(spark, monkeypatch):
@@ -159,3 +159,25 @@ def test_copies_of_copies_in_a_large_group(spark):
     assert all(neardup.aligned(grams[0], grams[i]) < 0.8 for i in range(2, 61, 2))
     got = neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r.class_id for r in got} == {0}
+
+
+def test_texts_of_one_block_are_compared_in_one_tile(spark, monkeypatch):
+    """Few long texts in many blocks: the tiles that only one side's texts reach compare nothing."""
+    monkeypatch.setattr(neardup, "TILE_KMERS", 300)
+    base = [prose(400) for _ in range(12)]
+    rows = [(10 * i + j, " ".join(edited(words, j)), "") for i, words in enumerate(base) for j in range(3)]
+    got = {r.doc_id: r for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string, x string")).collect()}
+    with np.errstate(over="ignore"):
+        want, degree = plain({i: neardup.kmers(t) for i, t, _ in rows})
+    assert {i: (r.class_id, r.n_links) for i, r in got.items()} == {i: (want[i], degree[i]) for i in want}
+
+
+def test_partners_looked_up_in_parts(monkeypatch):
+    with np.errstate(over="ignore"):
+        words = prose(150)
+        grams = [neardup.kmers(" ".join(edited(words, k % 4))) for k in range(30)]
+    whole = neardup.tile_links(grams, np.empty((30, 0), np.int64), None)
+    monkeypatch.setattr(neardup, "AT_ONCE", 200)
+    parts = neardup.tile_links(grams, np.empty((30, 0), np.int64), None)
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+    assert neardup.tile_links(grams, np.empty((30, 0), np.int64), np.ones(30, np.int64))[0].sum() == 0

@@ -47,6 +47,8 @@ TAKEN = 3
 #: Texts and k-mers in each side of a tile, in expectation; a longer text is a block of its own.
 TILE = 2048
 TILE_KMERS = 1_000_000
+#: K-mers of a text's partners that are looked up at once.
+AT_ONCE = 250_000
 LONG = 8_192
 WORDS = re.compile(r"\w+")
 _rng = np.random.default_rng(24)
@@ -152,20 +154,36 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     return matched / (n + m - matched)
 
 
-def tile_links(grams: list[np.ndarray], earlier: np.ndarray, side: np.ndarray, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+def _linked(others: np.ndarray, n: int, place: np.ndarray, ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray, least: float) -> np.ndarray:
+    """Those of ``others`` that link to the text of n k-mers whose places are written down."""
+    lengths = sizes[others]
+    there = np.concatenate([ids[ends[y] - sizes[y] : ends[y]] for y in others.tolist()])
+    which, at = np.repeat(np.arange(len(others)), lengths), np.arange(len(there)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    there = place[there]
+    need = least / (1 + least) * (n + lengths)
+    near = (there >= 0) & (np.abs(there - at) <= (np.maximum(n, lengths) - need).astype(np.int64)[which] + 1)
+    there, which = there[near], which[near]
+    matched = np.bincount(which, minlength=len(others))
+    for y in np.unique(which[1:][(which[1:] == which[:-1]) & (there[1:] < there[:-1])]).tolist():
+        if matched[y] >= need[y] - 1e-9:
+            matched[y] = rising(there[which == y])
+    return others[matched / (n + lengths - matched) >= least]
+
+
+def tile_links(grams: list[np.ndarray], earlier: np.ndarray, side: np.ndarray | None, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
     """(links of each text, least text that it reaches) among the pairs of a tile that share no earlier key.
 
-    side: 0 or 1; if both occur, only texts of different sides are compared. earlier: a row of keys for each text.
+    side: 0 or 1, and only texts of different sides are compared; None: all are. earlier: a row of keys for each text.
     Places of a text's k-mers are written down by k-mer, and those of all its partners looked up there at once; only
     a partner whose matches are out of order is aligned by itself.
     """
     sizes = np.fromiter(map(len, grams), np.int64, len(grams))
     ends = np.cumsum(sizes)
     words, ids = np.unique(np.concatenate(grams), return_inverse=True)
-    place, mixed = np.full(len(words), -1, np.int64), 0 < side.sum() < len(side)
+    place = np.full(len(words), -1, np.int64)
     counts, label = np.zeros(len(grams), np.int64), np.arange(len(grams))
     for x, n in enumerate(sizes.tolist()):
-        others = np.flatnonzero(side > side[x]) if mixed else np.arange(x + 1, len(grams))
+        others = np.arange(x + 1, len(grams)) if side is None else np.flatnonzero(side > side[x])
         others = others[np.minimum(sizes[others], n) >= least * np.maximum(sizes[others], n)]
         if earlier.shape[1] and len(others):
             others = others[~(earlier[others] == earlier[x]).any(1)]
@@ -173,18 +191,8 @@ def tile_links(grams: list[np.ndarray], earlier: np.ndarray, side: np.ndarray, l
             continue
         own = ids[ends[x] - n : ends[x]]
         place[own] = np.arange(n)
-        lengths = sizes[others]
-        there = np.concatenate([ids[ends[y] - sizes[y] : ends[y]] for y in others.tolist()])
-        which, at = np.repeat(np.arange(len(others)), lengths), np.arange(len(there)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        there = place[there]
-        need = least / (1 + least) * (n + lengths)
-        near = (there >= 0) & (np.abs(there - at) <= (np.maximum(n, lengths) - need).astype(np.int64)[which] + 1)
-        there, which = there[near], which[near]
-        matched = np.bincount(which, minlength=len(others))
-        for y in np.unique(which[1:][(which[1:] == which[:-1]) & (there[1:] < there[:-1])]).tolist():
-            if matched[y] >= need[y] - 1e-9:
-                matched[y] = rising(there[which == y])
-        found = others[matched / (n + lengths - matched) >= least]
+        part = (np.cumsum(sizes[others]) - 1) // AT_ONCE
+        found = np.concatenate([_linked(some, n, place, ids, sizes, ends, least) for some in np.split(others, np.flatnonzero(np.diff(part)) + 1)])
         place[own] = -1
         if len(found):
             counts[x] += len(found)
@@ -267,7 +275,8 @@ def _compare(batches):
         earlier = table.column("earlier").combine_chunks()
         keys = earlier.flatten().to_numpy(zero_copy_only=False).reshape(len(nodes), -1)
         own = table.column("own").to_numpy()
-        counts, label = tile_links(grams, keys, (own != table.column("low")[0].as_py()).astype(np.int64))
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        counts, label = tile_links(grams, keys, None if low == high else (own == high).astype(np.int64))
         some = np.flatnonzero(counts)
         return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in some], pa.binary()), pa.array(counts[some]), pa.array([nodes[i] for i in label[some]], pa.binary())], ["node", "n", "root"])
 
