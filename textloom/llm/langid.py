@@ -280,8 +280,8 @@ def identify(docs: DataFrame, model: bytes) -> DataFrame:
 def accept(docs: DataFrame, model: bytes, least: float = 0.3) -> DataFrame:
     """The rows whose text has a language: letters, and a score of at least ``least``. All columns, in their order.
 
-    Scores are means over positions: of labelled documents, one in a hundred is below 0.58, and texts of passages in
-    several languages are at 0.4 and more. The default is half of the former. With three languages or fewer, only texts
+    Scores are means over positions: of the held-out test documents it was measured on, one in a hundred is below 0.58,
+    and texts of passages in several languages are at 0.4 and more. The default is half of the former. With three languages or fewer, only texts
     without letters go, since the likeliest of so few is above it.
     """
     ship(docs.sparkSession)
