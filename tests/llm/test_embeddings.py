@@ -80,3 +80,19 @@ def test_repeated_ids_ask_and_answer_once(spark):
     assert [(r.query_id, r.rank, r.vec_id, round(r.score, 6)) for r in got] == [(0, 1, 1, 1.0), (0, 2, 2, 0.9), (0, 3, 3, 0.0)]
     dup = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddup.classes(table(spark, rows[:-1])).collect()}
     assert dup == {(0, 3, 0, True), (0, 1, 0, True), (1, 3, 0, False), (2, 1, 0, False), (3, 0, 3, True)}
+
+
+def test_tiles_move_no_blocks(spark, monkeypatch):
+    """Blocks are read where they are: shuffling both sides of every tile took disk as the square of the rows."""
+    monkeypatch.setattr(embeddup, "BLOCK", 8)
+    monkeypatch.setattr(embeddup, "TASKS", 3, raising=False)
+    x = sample(300)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    plans, write = [], embeddup.materialize
+    monkeypatch.setattr(embeddup, "materialize", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or write(df, name))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddup.classes(rows).collect()}
+    assert "Exchange" not in dict(plans)["tiles"] and not any("embedding" in plan for name, plan in plans if name in ("per", "names"))
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    link = (u @ u.T >= 0.9) & ~np.eye(len(x), dtype=bool)
+    root = embeddup.least_reachable(len(x), *np.nonzero(link))
+    assert got == {i: (link[i].sum(), root[i]) for i in range(len(x))}

@@ -3,12 +3,17 @@
 All vectors are normalised, rotated onto the principal axes of their second moments (a table of d x d sums, the only
 statistic that reaches the driver) and dealt into blocks of ``BLOCK`` rows. Every pair of blocks is one tile. A tile
 first multiplies the leading ``LEAD`` coordinates; by Cauchy-Schwarz the rest of a product is at most the product of
-the two suffix norms, so pairs whose sum stays below the threshold stop there. The others take the next coordinates,
-and what is left at the end is decided by the cosine of the vectors as given, in double precision.
+the two suffix norms, so pairs whose sum stays below the threshold stop there. This first bound is one product in
+single precision, loosened by ``LOOSE``, far more than its rounding. The others take the next coordinates, and what is
+left at the end is decided by the cosine of the vectors as given, in double precision.
 
 A tile returns, for each of its rows that links, how many it links to and the least row of its part of the tile's
 graph: counts and a spanning forest, never the pairs. Equal vectors are one row with a count from the start.
 
+Blocks are written once, as the vectors were given, and each task of the product of blocks reads its own part of them:
+nothing of a tile is shuffled, so the disk that is needed grows with the rows and only the work with their square.
+After the blocks, rows are known by the SHA-256 of their vector; vectors are not moved again.
+
 Cases: vectors that are null, zero, or hold null, NaN or infinite components link with nothing and are kept; shorter
 vectors are padded with zeros to the longest; rows of one id are rows of their own; an empty table gives an empty
 result; other columns are not read.
@@ -22,14 +27,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.components import components
-from textloom.runtime import materialize, ship
+from textloom.runtime import discard, materialize, ship
 
 THRESHOLD = 0.9
 BLOCK = 2048
-LEAD = 16
+LEAD = 32
 SLACK = 1e-9
-#: Rows of a tile that are compared at once; bounds a tile's memory to STRIP * BLOCK pairs of vectors.
-STRIP = 32
+LOOSE = 1e-5
+#: Tasks of the product of blocks that more parts on its streamed side may not exceed.
+TASKS = 4096
+#: Blocks that a worker keeps in rotated form.
+KEPT = 8
+#: Rows of a tile whose bounds are found at once, and pairs that go on at once; both bound a tile's memory.
+STRIP = 128
+PAIRS = 65_536
 
 
 def usable():
@@ -55,17 +66,18 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def axes(vectors: DataFrame, width: int) -> np.ndarray:
+def axes(blocks: DataFrame, width: int, kind: str) -> np.ndarray:
     """The principal axes, largest first, from summed products of unit vectors: width x width numbers from all tasks."""
 
     def run(batches):
         total = np.zeros((width, width))
         for batch in batches:
-            x = unit(matrix(batch.column(0), width)) if batch.num_rows else np.zeros((0, width))
-            total += x.T @ x
+            for data in batch.column(0):
+                x = unit(np.frombuffer(data.as_buffer(), kind).reshape(-1, width).astype(np.float64))
+                total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(list(total), pa.list_(pa.float64()))], ["i", "sums"])
 
-    rows = vectors.select("embedding").mapInArrow(run, "i long, sums array<double>")
+    rows = blocks.select("data").mapInArrow(run, "i long, sums array<double>")
     cells = rows.select("i", F.posexplode("sums").alias("j", "s")).groupBy("i", "j").agg(F.sum("s").alias("s")).collect()
     moments = np.zeros((width, width))
     for r in cells:
@@ -73,35 +85,38 @@ def axes(vectors: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh((moments + moments.T) / 2)[1][:, ::-1]
 
 
-def tile_pairs(a: np.ndarray, b: np.ndarray, ra: np.ndarray, rb: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers (i, j) of the pairs with cosine of at least the threshold. ra, rb: a and b on the principal axes."""
-    d = ra.shape[1]
-    suffix = lambda x: np.sqrt(np.maximum(0, np.cumsum((x * x)[:, ::-1], 1)[:, ::-1]))
-    sa, sb = suffix(ra), suffix(rb)
-    lead = min(LEAD, d)
+class Side:
+    """The vectors of a block as a tile needs them: as unit vectors, on the principal axes, and leading coordinates."""
+
+    def __init__(self, x: np.ndarray, turn: np.ndarray) -> None:
+        self.x = unit(x)
+        self.turned = self.x @ turn
+        d = self.turned.shape[1]
+        #: norms of what follows coordinate LEAD, 2 LEAD, ...
+        self.rest = {k: np.sqrt(np.einsum("ij,ij->i", self.turned[:, k:], self.turned[:, k:])) for k in range(LEAD, d, LEAD)}
+        self.lead = np.column_stack([self.turned[:, :LEAD], *([self.rest[LEAD]] if LEAD < d else [])]).astype(np.float32)
+
+
+def tile_pairs(a: Side, b: Side, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (i, j) of the pairs with cosine of at least the threshold."""
+    d = a.turned.shape[1]
     out_i, out_j = [], []
-    for start in range(0, len(a), STRIP):
-        stop = min(start + STRIP, len(a))
-        partial = ra[start:stop, :lead] @ rb[:, :lead].T
-        if lead < d:
-            alive = partial + sa[start:stop, lead, None] * sb[None, :, lead] >= threshold - SLACK
-        else:
-            alive = partial >= threshold - SLACK
-        i, j = np.nonzero(alive)
-        got = partial[i, j]
-        i = i + start
-        for low in range(lead, d, LEAD):
-            if not len(i):
-                break
-            high = min(low + LEAD, d)
-            got = got + np.einsum("ij,ij->i", ra[i, low:high], rb[j, low:high])
-            rest = sa[i, high] * sb[j, high] if high < d else 0.0
-            keep = got + rest >= threshold - SLACK
-            i, j, got = i[keep], j[keep], got[keep]
-        if len(i):
-            exact = np.einsum("ij,ij->i", a[i], b[j])
-            out_i.append(i[exact >= threshold])
-            out_j.append(j[exact >= threshold])
+    least, across = np.float32(threshold - LOOSE), np.ascontiguousarray(b.lead.T)
+    for start in range(0, len(a.x), STRIP):
+        bound = a.lead[start : start + STRIP] @ across
+        alive = np.flatnonzero(bound >= least)
+        for first in range(0, len(alive), PAIRS):
+            i, j = np.divmod(alive[first : first + PAIRS], len(b.x))
+            i, got = i + start, 0.0
+            for low in range(0, d, LEAD):
+                high = min(low + LEAD, d)
+                got = got + np.einsum("ij,ij->i", a.turned[i, low:high], b.turned[j, low:high])
+                rest = a.rest[high][i] * b.rest[high][j] if high < d else 0.0
+                keep = got + rest >= threshold - SLACK
+                i, j, got = i[keep], j[keep], got[keep]
+            exact = np.einsum("ij,ij->i", a.x[i], b.x[j]) >= threshold
+            out_i.append(i[exact])
+            out_j.append(j[exact])
     if not out_i:
         return np.empty(0, np.intp), np.empty(0, np.intp)
     return np.concatenate(out_i), np.concatenate(out_j)
@@ -121,39 +136,72 @@ def least_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = after
 
 
-def linked(vectors: DataFrame, width: int, threshold: float = THRESHOLD) -> DataFrame:
-    """(node, n, root) for nodes in a tile's links: how many rows it links to there, and the least node it reaches.
+def blocked(vectors: DataFrame, width: int, kind: str) -> DataFrame:
+    """Rows of up to ``BLOCK`` vectors: block (distinct), arrays node, times, least and digest, and the vectors' numbers.
 
-    vectors: node (0 to count - 1, distinct), times (rows that are equal to it), embedding.
+    vectors: node (distinct), times (rows that are equal to it), least, digest, embedding. Each task fills blocks from
+    its own rows.
     """
     ship(vectors.sparkSession)
-    count = vectors.count()
-    if not count:
-        return vectors.select("node", F.col("times").alias("n"), F.col("node").alias("root"))
-    turn, n_blocks = axes(vectors, width), -(-count // BLOCK)
-
-    def pack(key, table):
-        order = np.argsort(table.column("node").to_numpy())
-        table = table.take(pa.array(order))
-        x = unit(matrix(table.column("embedding").combine_chunks(), width))
-        return pa.table({"block": [key[0].as_py()], "nodes": [table.column("node").to_numpy().tobytes()], "times": [table.column("times").to_numpy().tobytes()], "data": [x.tobytes()]}, pa.schema([("block", pa.int64()), ("nodes", pa.binary()), ("times", pa.binary()), ("data", pa.binary())]))
-
-    dealt = vectors.withColumn("block", F.floor(F.col("node") / BLOCK).cast("long"))
-    packed = materialize(dealt.groupBy("block").applyInArrow(pack, "block long, nodes binary, times binary, data binary"), "blocks")
-    tiles = dealt.sparkSession.range(n_blocks).select(F.col("id").alias("a"), F.explode(F.sequence(F.col("id"), F.lit(n_blocks - 1))).alias("b"))
-    left = packed.select(F.col("block").alias("a"), F.col("nodes").alias("na"), F.col("times").alias("ta"), F.col("data").alias("xa"))
-    right = packed.select(F.col("block").alias("b"), F.col("nodes").alias("nb"), F.col("times").alias("tb"), F.col("data").alias("xb"))
-    spread = min(n_blocks * (n_blocks + 1) // 2, 4 * int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    both = tiles.repartition(spread, "a", "b").join(left, "a").join(right, "b").select("a", "b", "na", "ta", "xa", "nb", "tb", "xb")
+    size = BLOCK
+    schema = "block long, node array<long>, times array<long>, least array<long>, digest array<binary>, data binary"
+
+    def pack(batches):
+        held, n = [], 0
+
+        def out(rows):
+            x = matrix(rows.column("embedding").combine_chunks(), width).astype(kind)
+            lists = [pa.array([rows.column(c).to_pylist()], pa.list_(pa.binary() if c == "digest" else pa.int64())) for c in ("node", "times", "least", "digest")]
+            return pa.RecordBatch.from_arrays([pa.array([rows.column("node")[0].as_py()], pa.int64()), *lists, pa.array([x.tobytes()], pa.binary())], ["block", "node", "times", "least", "digest", "data"])
+
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= size:
+                table = pa.Table.from_batches(held)
+                full = n - n % size
+                yield from (out(table.slice(low, size)) for low in range(0, full, size))
+                held, n = table.slice(full).to_batches(), n - full
+        if n:
+            yield out(pa.Table.from_batches(held))
+
+    return vectors.select("node", "times", "least", "digest", "embedding").mapInArrow(pack, schema)
+
+
+def linked(blocks: DataFrame, width: int, kind: str, threshold: float = THRESHOLD) -> DataFrame:
+    """(node, n, root) for nodes in a tile's links: how many rows it links to there, and the least node it reaches.
+
+    blocks: as ``blocked`` gives them, written. Each pair is one tile, whose order depends on whether the two blocks'
+    hashes are odd together, so that no task's tiles are all left out. The streamed side has fewer parts where the
+    product would have very many tasks.
+    """
+    turn = axes(blocks, width, kind)
+    sides = blocks.select("block", F.struct("node", "times", "data").alias("rows"), (F.xxhash64("block") % 2 == 0).alias("even"))
+    left, right = (sides.select(*(F.col(c).alias(f"{c}_{x}") for c in sides.columns)) for x in "ab")
+    parts = max(1, right.rdd.getNumPartitions())
+    left = left.coalesce(max(1, min(parts, TASKS // parts)))
+    mine = (F.col("block_a") < F.col("block_b")) == (F.col("even_a") == F.col("even_b"))
+    both = left.join(right.hint("shuffle_replicate_nl"), (F.col("block_a") == F.col("block_b")) | ((F.col("block_a") != F.col("block_b")) & mine))
 
     def compare(batches):
+        kept = {}
+
+        def side(block, rows, k):
+            if block not in kept:
+                while len(kept) >= KEPT:
+                    del kept[next(iter(kept))]
+                node, times = (np.array(rows.field(c)[k].values) for c in (0, 1))
+                x = np.frombuffer(rows.field(2)[k].as_buffer(), kind).reshape(-1, width)
+                kept[block] = node, times, Side(x.astype(np.float64), turn)
+            else:
+                kept[block] = kept.pop(block)  # now the last to go
+            return kept[block]
+
         for batch in batches:
             for k in range(batch.num_rows):
-                one, two = batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
-                na, ta = (np.frombuffer(batch.column(c)[k].as_py(), np.int64) for c in (2, 3))
-                nb, tb = (np.frombuffer(batch.column(c)[k].as_py(), np.int64) for c in (5, 6))
-                xa, xb = (np.frombuffer(batch.column(c)[k].as_py()).reshape(-1, width) for c in (4, 7))
-                i, j = tile_pairs(xa, xb, xa @ turn, xb @ turn, threshold)
+                one, two = batch.column(0)[k].as_py(), batch.column(2)[k].as_py()
+                (na, ta, a), (nb, tb, b) = side(one, batch.column(1), k), side(two, batch.column(3), k)
+                i, j = tile_pairs(a, b, threshold)
                 if one == two:
                     once = i != j  # within a block each link is seen from both sides
                     i, j = i[once], j[once]
@@ -166,35 +214,27 @@ def linked(vectors: DataFrame, width: int, threshold: float = THRESHOLD) -> Data
                 some = np.flatnonzero(n)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(n[some]), pa.array(nodes[root[some]])], ["node", "n", "root"])
 
-    return both.mapInArrow(compare, "node long, n long, root long")
-
-
-def numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` with node: 0 to count - 1. Task by task: a running id, and the count of rows before each task."""
-    held = materialize(rows.withColumn("_at", F.monotonically_increasing_id()), "numbered")
-    part, place = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    start, starts = 0, []
-    for r in sorted(held.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect(), key=lambda r: r["part"]):  # a row a task
-        starts.append((r["part"], start))
-        start += r["n"]
-    table = held.sparkSession.createDataFrame(starts or [(0, 0)], "_part long, _start long")
-    return held.withColumn("_part", part).join(F.broadcast(table), "_part").withColumn("node", F.col("_start") + place).drop("_at", "_part", "_start")
+    return both.select("block_a", "rows_a", "block_b", "rows_b").mapInArrow(compare, "node long, n long, root long")
 
 
 def classes(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
-    rows = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
-    good = rows.filter(usable())
+    single = dict(embeddings.dtypes)["embedding"] == "array<float>"
+    kind = "float32" if single else "float64"
+    rows = embeddings.select("vec_id", F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"))
+    good = rows.filter(usable()).withColumn("digest", F.unhex(F.sha2(F.col("embedding").cast("string").cast("binary"), 256)))
     width = good.agg(F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()[0]
-    distinct = good.groupBy("embedding").agg(F.count("*").alias("times"), F.min("vec_id").alias("least"))
-    nodes = materialize(numbered(distinct), "nodes")
-    tiles = materialize(linked(nodes.select("node", "times", "embedding"), width, threshold), "tiles")
+    distinct = good.groupBy("digest", "embedding").agg(F.count("*").alias("times"), F.min("vec_id").alias("least"))
+    blocks = materialize(blocked(distinct.withColumn("node", F.monotonically_increasing_id()), width, kind), "blocks")
+    tiles = materialize(linked(blocks, width, kind, threshold), "tiles")
     roots = components(tiles.select(F.col("node").alias("a"), F.col("root").alias("b")))
     counts = tiles.groupBy("node").agg(F.sum("n").alias("n"))
-    per = nodes.select("node", "embedding", "times", "least").join(counts, "node", "left").join(roots, "node", "left")
-    per = materialize(per.select("embedding", "least", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")), "per")
+    nodes = blocks.select(F.explode(F.arrays_zip("node", "times", "least", "digest")).alias("e")).select("e.*")
+    per = nodes.join(counts, "node", "left").join(roots, "node", "left")
+    per = materialize(per.select("digest", "least", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("root", "node").alias("root")), "per")
+    discard(blocks, tiles)
     names = materialize(per.groupBy("root").agg(F.min("least").alias("component_id")), "names")
-    named = per.join(names, "root").select("embedding", "n_links", "component_id")
-    done = good.join(named, "embedding").select("vec_id", "n_links", "component_id")
+    named = per.join(names, "root").select("digest", "n_links", "component_id")
+    done = good.select("vec_id", "digest").join(named, "digest").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return done.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
