@@ -96,3 +96,23 @@ def test_tiles_move_no_blocks(spark, monkeypatch):
     link = (u @ u.T >= 0.9) & ~np.eye(len(x), dtype=bool)
     root = embeddup.least_reachable(len(x), *np.nonzero(link))
     assert got == {i: (link[i].sum(), root[i]) for i in range(len(x))}
+
+
+def test_large_group_of_near_copies_gives_few_rows(spark, monkeypatch):
+    """A row for each tile that a node links in made rows as the square of a group; a task's tiles are merged."""
+    monkeypatch.setattr(embeddup, "BLOCK", 4)
+    monkeypatch.setattr(embeddup, "TASKS", 1, raising=False)
+    x = (np.ones((200, 12)) + RNG.normal(size=(200, 12)) * 0.01).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    made, write = {}, embeddup.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(embeddup, "materialize", counted)
+    for held in (500_000, 150, 900):
+        monkeypatch.setattr(embeddup, "HELD", held, raising=False)
+        assert {(r.n_links, r.component_id) for r in embeddup.classes(rows).collect()} == {(199, 0)}
+        assert held == 150 or made["tiles"] <= 200 * 50 / 4

@@ -7,8 +7,8 @@ the two suffix norms, so pairs whose sum stays below the threshold stop there. T
 single precision, loosened by ``LOOSE``, far more than its rounding. The others take the next coordinates, and what is
 left at the end is decided by the cosine of the vectors as given, in double precision.
 
-A tile returns, for each of its rows that links, how many it links to and the least row of its part of the tile's
-graph: counts and a spanning forest, never the pairs. Equal vectors are one row with a count from the start.
+A tile finds, for each of its rows that links, how many it links to and the least row of its part of the tile's
+graph: counts and a spanning forest, never the pairs. A task merges what its tiles find. Equal vectors are one row with a count from the start.
 
 Blocks are written once, as the vectors were given, and each task of the product of blocks reads its own part of them:
 nothing of a tile is shuffled, so the disk that is needed grows with the rows and only the work with their square.
@@ -38,6 +38,8 @@ LOOSE = 1e-5
 TASKS = 4096
 #: Blocks that a worker keeps in rotated form.
 KEPT = 8
+#: Rows of results that a task gathers before it merges them into one a node; it lets them go if more than half are left.
+HELD = 500_000
 #: Rows of a tile whose bounds are found at once, and pairs that go on at once; both bound a tile's memory.
 STRIP = 128
 PAIRS = 65_536
@@ -136,6 +138,14 @@ def least_reachable(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = after
 
 
+def merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One row for each node of ``parts``, which hold (node, n, root): its sum of n, and the least node it reaches by them."""
+    node, n, root = (np.concatenate(c) for c in zip(*parts, strict=True))
+    names, at = np.unique(np.concatenate([node, root]), return_inverse=True)
+    least = least_reachable(len(names), at[: len(node)], at[len(node) :])
+    return names, np.bincount(at[: len(node)], n, len(names)).astype(np.int64), names[least]
+
+
 def blocked(vectors: DataFrame, width: int, kind: str) -> DataFrame:
     """Rows of up to ``BLOCK`` vectors: block (distinct), arrays node, times, least and digest, and the vectors' numbers.
 
@@ -169,13 +179,13 @@ def blocked(vectors: DataFrame, width: int, kind: str) -> DataFrame:
 
 
 def linked(blocks: DataFrame, width: int, kind: str, threshold: float = THRESHOLD) -> DataFrame:
-    """(node, n, root) for nodes in a tile's links: how many rows it links to there, and the least node it reaches.
+    """(node, n, root) for nodes in a task's links: how many rows it links to there, and the least node it reaches.
 
     blocks: as ``blocked`` gives them, written. Each pair is one tile, whose order depends on whether the two blocks'
     hashes are odd together, so that no task's tiles are all left out. The streamed side has fewer parts where the
     product would have very many tasks.
     """
-    turn = axes(blocks, width, kind)
+    turn, most = axes(blocks, width, kind), HELD
     sides = blocks.select("block", F.struct("node", "times", "data").alias("rows"), (F.xxhash64("block") % 2 == 0).alias("even"))
     left, right = (sides.select(*(F.col(c).alias(f"{c}_{x}") for c in sides.columns)) for x in "ab")
     parts = max(1, right.rdd.getNumPartitions())
@@ -184,7 +194,10 @@ def linked(blocks: DataFrame, width: int, kind: str, threshold: float = THRESHOL
     both = left.join(right.hint("shuffle_replicate_nl"), (F.col("block_a") == F.col("block_b")) | ((F.col("block_a") != F.col("block_b")) & mine))
 
     def compare(batches):
-        kept = {}
+        kept, found, rows_held = {}, [], 0
+
+        def out(node, n, root):
+            return pa.RecordBatch.from_arrays([pa.array(node), pa.array(n), pa.array(root)], ["node", "n", "root"])
 
         def side(block, rows, k):
             if block not in kept:
@@ -212,7 +225,18 @@ def linked(blocks: DataFrame, width: int, kind: str, threshold: float = THRESHOL
                     j = j + len(na)
                 root = least_reachable(len(nodes), i, j)
                 some = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(n[some]), pa.array(nodes[root[some]])], ["node", "n", "root"])
+                if not len(some):
+                    continue
+                found.append((nodes[some], n[some], nodes[root[some]]))
+                rows_held += len(some)
+                if rows_held >= most:
+                    found = [merged(found)]
+                    rows_held = len(found[0][0])
+                    if rows_held > most // 2:
+                        yield out(*found.pop())
+                        rows_held = 0
+        if found:
+            yield out(*merged(found))
 
     return both.select("block_a", "rows_a", "block_b", "rows_b").mapInArrow(compare, "node long, n long, root long")
 
