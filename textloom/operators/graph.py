@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.text import unescape_html
 from textloom.operators.clean import first_wins
-from textloom.runtime import materialize
+from textloom.runtime import materialize, pieces
 
 SUPPRESSED = ("O", "E", "Y")
 
@@ -21,10 +21,16 @@ def kept_rows(df: DataFrame, language: str | None = "ENG", drop_suppressed: bool
     return df
 
 
-def within(edges: DataFrame, ends: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Edges whose named columns all occur in their tables: {column: (table, key)}. One semi-join each."""
+def within(edges: DataFrame, ends: dict[str, tuple[DataFrame, str]], parts: int | None = None) -> DataFrame:
+    """Edges whose named columns all occur in their tables: {column: (table, key)}. One semi-join each.
+
+    With ``parts`` both sides are dealt in so many pieces: for columns without hot values, which adaptive joins must split.
+    """
     for column, (table, key) in ends.items():
-        edges = edges.join(table.select(F.col(key).alias(column)).distinct(), column, "left_semi")
+        known = table.select(F.col(key).alias(column))
+        if parts:
+            edges, known = edges.repartition(parts, column), known.repartition(parts, column)
+        edges = edges.join(known.distinct(), column, "left_semi")
     return edges
 
 
@@ -41,7 +47,7 @@ def concepts(mrconso: DataFrame, order: str = "pos", **keep) -> DataFrame:
 
 
 def atoms(mrconso: DataFrame, kept: DataFrame, **keep) -> DataFrame:
-    rows = within(kept_rows(mrconso, **keep), {"CUI": (kept, "cui")})
+    rows = within(kept_rows(mrconso, **keep), {"CUI": (kept, "cui")}, pieces(mrconso))
     text = unescape_html("STR")
     return rows.select(F.col("CUI").alias("cui"), F.col("AUI").alias("aui"), F.col("SAB").alias("sab"), F.col("CODE").alias("code"), F.col("TTY").alias("tty"), text.alias("str"), F.lower(text).alias("str_norm"))
 
@@ -59,16 +65,20 @@ def relations(mrrel: DataFrame, kept: DataFrame, drop_suppressed: bool = True) -
 
 
 def hierarchy(mrhier: DataFrame, mrconso: DataFrame, kept: DataFrame) -> DataFrame:
-    """src IS_A dst: child and parent atoms resolved to concepts, through every atom of a kept concept."""
-    owner = within(mrconso, {"CUI": (kept, "cui")}).select("AUI", "CUI").distinct()
+    """src IS_A dst: child and parent atoms resolved to concepts, through every atom of a kept concept.
+
+    Dealt by atom before rows are made distinct, in pieces of a bounded number of rows: nearly all atoms differ.
+    """
+    parts = pieces(mrconso, mrhier)
+    owner = within(mrconso.select("AUI", "CUI"), {"CUI": (kept, "cui")}, parts).repartition(parts, "AUI").distinct()
     rows = mrhier.filter("PAUI != ''").select("AUI", "PAUI", F.col("SAB").alias("sab"), F.col("RELA").alias("rela"))
-    return no_loops(resolve_ends(rows, owner, "AUI", "CUI", {"AUI": "src", "PAUI": "dst"}), "src", "dst").select("src", "dst", "sab", "rela")
+    return no_loops(resolve_ends(rows, owner, "AUI", "CUI", {"AUI": "src", "PAUI": "dst"}, parts), "src", "dst").select("src", "dst", "sab", "rela")
 
 
-def resolve_ends(rows: DataFrame, owner: DataFrame, key: str, value: str, ends: dict[str, str]) -> DataFrame:
-    """Adds for each {column: new name} the owner's value; rows without one go."""
+def resolve_ends(rows: DataFrame, owner: DataFrame, key: str, value: str, ends: dict[str, str], parts: int | None = None) -> DataFrame:
+    """Adds for each {column: new name} the owner's value; rows without one go. parts: pieces in which the owner is dealt by its key."""
     for column, name in ends.items():
-        rows = rows.join(owner.select(F.col(key).alias(column), F.col(value).alias(name)), column)
+        rows = (rows.repartition(parts, column) if parts else rows).join(owner.select(F.col(key).alias(column), F.col(value).alias(name)), column)
     return rows
 
 

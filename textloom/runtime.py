@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+PIECE_ROWS = 200_000
 PACKAGE = Path(__file__).resolve().parent
 
 
@@ -93,6 +94,11 @@ def discard(*tables: DataFrame) -> None:
             target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def pieces(*tables: DataFrame) -> int:
+    """In how many pieces to deal tables, by ``repartition``, so that a task sorts or hashes about ``PIECE_ROWS`` rows of the largest."""
+    return max(1, *(-(-t.count() // PIECE_ROWS) for t in tables))
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores before it as make it no column of ``df``."""
     taken = {c.lower() for c in df.columns}
