@@ -9,6 +9,7 @@ from textloom.functions.text import unescape_html
 from textloom.operators.clean import first_wins
 from textloom.runtime import materialize, pieces
 
+HOT_SHARES = 16
 SUPPRESSED = ("O", "E", "Y")
 
 
@@ -115,17 +116,29 @@ def neighbours(nodes: DataFrame, edges: DataFrame, anchor: Column, where: Column
     return both.join(start, "anchor", "left_semi").join(nodes.select(F.col(key).alias("neighbour")), "neighbour", "left_semi").select("anchor", "neighbour")
 
 
-def merged_nodes(rows: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:
-    """One node a key with the values of its last row by ``order``."""
+def merged_nodes(rows: DataFrame, keys: list[str], order: str, values: list[str], parts: int | None = None, shares: int = 1) -> DataFrame:
+    """One node a key with the values of its last row by ``order``.
+
+    With ``parts`` rows are dealt by key in so many pieces first, so that no task sorts more than its piece; a hot
+    key's rows by ``shares``, of which the last ones meet.
+    """
+    if parts and shares > 1:
+        share = F.pmod(F.xxhash64(order, *values), F.lit(shares))
+        last = F.max_by(F.struct(order, *values), F.struct(order, *values))
+        some = rows.select(*dict.fromkeys([*keys, order, *values]), share.alias("_share")).repartition(parts, *keys, "_share").groupBy(*keys, "_share").agg(last.alias("_v"))
+        rows = some.select(*keys, *[F.col("_v")[v].alias(v) for v in dict.fromkeys([order, *values]) if v not in keys])
+    if parts:
+        rows = rows.repartition(parts, *keys)
     last = F.max_by(F.struct(*values), F.struct(order, *values))
     return rows.groupBy(*keys).agg(last.alias("_v")).select(*keys, *[F.col("_v")[v].alias(v) for v in values])
 
 
-def merged_edges(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Edges as a set of keys, without those that lack one."""
+def merged_edges(rows: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
+    """Edges as a set of keys, without those that lack one. parts: pieces in which they are dealt before they meet, where nearly all differ."""
     for k in keys:
         rows = rows.filter(F.col(k).isNotNull() & (F.col(k).cast("string") != ""))
-    return rows.select(*keys).distinct()
+    rows = rows.select(*keys)
+    return (rows.repartition(parts, *keys) if parts else rows).distinct()
 
 
 def universe(nodes: DataFrame, key: str, *references: DataFrame) -> DataFrame:
@@ -137,19 +150,24 @@ def universe(nodes: DataFrame, key: str, *references: DataFrame) -> DataFrame:
 
 
 def note_layer(docs: DataFrame, sections: DataFrame, mentions: DataFrame) -> dict[str, DataFrame]:
-    """The note layer by table name. Documents without sections and mentions without a hash are left out."""
-    full = docs.join(sections.select("doc_id").distinct(), "doc_id", "left_semi")
+    """The note layer by table name. Documents without sections and mentions without a hash are left out.
+
+    Tables are dealt by their keys in pieces of a bounded number of rows. A mention's entity may be hot: its rows are
+    shared out, and its edges to concepts, of which many are equal, are merged in each task before they are dealt.
+    """
+    of_docs, of_sections, of_mentions = pieces(docs), pieces(sections), pieces(mentions)
+    full = within(docs, {"doc_id": (sections, "doc_id")}, max(of_docs, of_sections))
     known = mentions.filter("entity_hash IS NOT NULL AND entity_hash != ''")
     alternates = full.select("doc_id", F.explode("alt_specialties").alias("a")).select("doc_id", F.col("a.specialty_cui").alias("cui"))
     return {
-        "note": merged_nodes(full, ["doc_id"], "doc_id", ["sample_name", "description", "doctype_cui"]),
-        "section": merged_nodes(sections, ["chunk_id"], "section_pos", ["doc_id", "section_type", "text"]),
-        "entity": merged_nodes(known, ["entity_hash"], "pos", ["expanded_text", "type"]),
-        "in_specialty": merged_edges(full.select("doc_id", F.col("specialty_cui").alias("cui")), ["doc_id", "cui"]),
-        "in_alt_specialty": merged_edges(alternates, ["doc_id", "cui"]),
-        "has_section": merged_edges(sections, ["doc_id", "chunk_id"]),
-        "of_type": merged_edges(sections.select("chunk_id", F.col("section_cui").alias("cui")), ["chunk_id", "cui"]),
-        "has_mention": merged_edges(known, ["chunk_id", "entity_hash", "start_char", "end_char"]),
+        "note": merged_nodes(full, ["doc_id"], "doc_id", ["sample_name", "description", "doctype_cui"], of_docs),
+        "section": merged_nodes(sections, ["chunk_id"], "section_pos", ["doc_id", "section_type", "text"], of_sections),
+        "entity": merged_nodes(known, ["entity_hash"], "pos", ["expanded_text", "type"], of_mentions, HOT_SHARES),
+        "in_specialty": merged_edges(full.select("doc_id", F.col("specialty_cui").alias("cui")), ["doc_id", "cui"], of_docs),
+        "in_alt_specialty": merged_edges(alternates, ["doc_id", "cui"], of_docs),
+        "has_section": merged_edges(sections, ["doc_id", "chunk_id"], of_sections),
+        "of_type": merged_edges(sections.select("chunk_id", F.col("section_cui").alias("cui")), ["chunk_id", "cui"], of_sections),
+        "has_mention": merged_edges(known, ["chunk_id", "entity_hash", "start_char", "end_char"], of_mentions),
         "refers_to": merged_edges(known, ["entity_hash", "cui"]),
     }
 
