@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import col, entity_hash, match_label, words
-from textloom.runtime import materialize, ship
+from textloom.runtime import PIECE_ROWS, in_pieces, materialize, ship
 
 K1, B = 1.2, 0.75
+PIECE_DOCS, MOST_QUERIES = 1_000, 1_000
 HAS_LETTER_OR_DIGIT = "[A-Za-z0-9]"
 
 
@@ -29,28 +32,42 @@ def exact(texts: DataFrame, names: DataFrame, key: str = "entity_hash", text: st
     return texts.withColumn("str_norm", F.lower(F.trim(col(text)))).join(one, "str_norm").select(key, "c.cui", "c.name")
 
 
-def postings(corpus: DataFrame, doc: str, text: str) -> DataFrame:
-    """doc, term, tf, length of every document's terms."""
-    tokens = corpus.select(doc, words(text).alias("_w"))
-    rows = tokens.select(doc, F.size("_w").alias("length"), F.explode("_w").alias("term"))
-    return rows.groupBy(doc, "term").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
+def postings(corpus: DataFrame, doc: str, text: str, terms: DataFrame, parts: int) -> DataFrame:
+    """doc, length, term, tf of those terms of every document that are in ``terms`` (term), dealt by document in ``parts``.
+
+    Texts are dealt before they are cut, so that their terms are counted where they are. Every document has the term ''.
+    """
+    tokens = corpus.select(doc, text).repartition(parts, doc).select(doc, words(text).alias("_w"))
+    listed = F.coalesce(F.array_append("_w", F.lit("")), F.array(F.lit("")))
+    rows = tokens.select(doc, F.size("_w").alias("length"), F.explode(listed).alias("term")).join(terms, "term", "left_semi")
+    return rows.groupBy(doc, "length", "term").agg(F.count("*").alias("tf"))
 
 
 def bm25(queries: DataFrame, corpus: DataFrame, query: str, query_text: str, doc: str, text: str, k: int = 1, least: float = 0.0, all_terms: bool = False) -> DataFrame:
     """query, doc, score, rank: the k best documents for each query, of at least ``least``; ties to the smaller id.
 
-    Joined by term, and only terms of queries leave the scan of postings. Scores are rounded to 12 places, so that
-    the order of summation decides nothing. all_terms: every term of the query must be there.
+    Joined by term, and only terms of queries leave the scan of postings. Hits are summed in pieces of about
+    ``PIECE_DOCS`` documents (fewer with over 200 queries), each of which gives k rows a query at most; terms of up to
+    ``MOST_QUERIES`` queries are broadcast to the pieces, else hits are dealt anew by their number. Scores are rounded to 12 places, so that the
+    order of summation decides nothing. all_terms: every term of the query must be there.
     """
-    terms = queries.select(query, F.explode(F.array_distinct(words(query_text))).alias("term"))
-    index = postings(corpus, doc, text)
-    size = corpus.agg(F.count("*").alias("n_docs"), F.avg(F.size(words(text))).alias("mean_length")).first()
-    n, mean = size["n_docs"], size["mean_length"] or 1.0
-    wanted = index.join(terms.select("term").distinct(), "term", "left_semi")
-    frequency = wanted.groupBy("term").agg(F.count("*").alias("df"))
+    spark = corpus.sparkSession
+    terms = queries.select(query, F.explode(words(query_text)).alias("term")).distinct()
+    each = terms.select("term").unionByName(spark.createDataFrame([("",)], "term string")).distinct()
+    some = terms.agg(F.count("*").alias("rows"), F.count_distinct(query).alias("queries")).first()
+    few = some["rows"] <= PIECE_ROWS and some["queries"] <= MOST_QUERIES
+    parts = math.ceil(corpus.count() * max(1, some["queries"] / 200 if few else 1) / PIECE_DOCS)
+    wanted = postings(corpus, doc, text, F.broadcast(each) if few else each, max(1, parts))
+    sums = [F.count("*").alias("df"), F.sum("tf").alias("n"), (F.sum(F.col("tf") * F.col("length")) / F.sum(F.when(F.col("length").isNotNull(), F.col("tf")))).alias("mean")]
+    frequency = materialize(wanted.groupBy("term").agg(*sums), "frequency")
+    size = frequency.filter("term = ''").first()
+    n, mean = (size["n"], size["mean"] or 1.0) if size else (0, 1.0)
+    asked = materialize(terms.join(frequency.select("term", "df"), "term"), "asked")
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * (F.col("tf") * (K1 + 1)) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean)))
-    hits = terms.join(wanted.join(frequency, "term").select("term", doc, part.alias("part")), "term")
+    hits = wanted.join(F.broadcast(asked) if few else asked, "term").select(query, doc, part.alias("part"))
+    if not few:
+        hits = hits.repartition(in_pieces(asked.agg(F.sum("df")).first()[0] or 0), query, doc)
     scored = hits.groupBy(query, doc).agg(F.round(F.sum("part"), 12).alias("score"), F.count("*").alias("_n"))
     if all_terms:
         scored = scored.join(terms.groupBy(query).agg(F.count("*").alias("_all")), query).filter("_n = _all").drop("_all")

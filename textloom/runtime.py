@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -96,7 +97,11 @@ def discard(*tables: DataFrame) -> None:
 
 def pieces(*tables: DataFrame) -> int:
     """In how many pieces to deal tables, by ``repartition``, so that a task sorts or hashes about ``PIECE_ROWS`` rows of the largest."""
-    return max(1, *(-(-t.count() // PIECE_ROWS) for t in tables))
+    return in_pieces(max(t.count() for t in tables))
+
+
+def in_pieces(rows: float) -> int:
+    return max(1, math.ceil(rows / PIECE_ROWS))
 
 
 def unused(df: DataFrame, name: str) -> str:
