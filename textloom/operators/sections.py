@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from textloom.functions.text import HEADING, slug, strip
 
 START, END = "\u0001", "\u0002"
 MAX_WORDS = 8
+PIECE_CHARS = 1 << 23
 
 
 def headings(text: str) -> Column:
@@ -26,7 +29,12 @@ def split_sections(docs: DataFrame, allowed: DataFrame, doc: str = "doc_id", tex
     allowed: heading. A heading that is not accepted stays in the body before it, as do texts between; what comes
     before the first accepted heading is dropped, and so are empty bodies. Sections keep the order of their first
     body. The two control characters used as marks are removed from the input.
+
+    Accepted headings (78 characters each at most) are broadcast: a join by heading would bring all bodies of a common
+    one to one task.
+    Bodies are dealt once, by document, in pieces of about ``PIECE_CHARS`` of text.
     """
+    parts = max(1, math.ceil((docs.agg(F.sum(F.length(text))).first()[0] or 0) / PIECE_CHARS))
     clean = F.translate(F.col(text), START + END, "")
     marked = F.split(F.regexp_replace(clean, HEADING, f"{START}$1{END}"), START)
     pieces = docs.select(doc, F.posexplode(marked).alias("pos", "piece")).filter("pos > 0")
@@ -34,7 +42,7 @@ def split_sections(docs: DataFrame, allowed: DataFrame, doc: str = "doc_id", tex
     named = pieces.select(doc, "pos", raw.alias("raw"), body.alias("body")).withColumn("heading", strip(F.regexp_replace(strip("raw"), ",+$", "")))
     fits = F.size(F.split("heading", r"\s+")) <= MAX_WORDS
     known = allowed.select(F.col("heading"), F.lit(True).alias("ok")).distinct()
-    named = named.join(known, "heading", "left").withColumn("ok", F.coalesce("ok", F.lit(False)) & fits)
+    named = named.join(F.broadcast(known), "heading", "left").withColumn("ok", F.coalesce("ok", F.lit(False)) & fits).repartition(parts, doc)
     order = Window.partitionBy(doc).orderBy("pos")
     grouped = named.withColumn("group", F.sum(F.col("ok").cast("int")).over(order)).filter(F.col("group") > 0)
     piece = F.when(F.col("ok"), F.col("body")).otherwise(F.concat("raw", F.lit(":"), "body"))
