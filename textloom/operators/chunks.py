@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import accumulate
 
 import pyarrow as pa
@@ -16,6 +17,7 @@ from textloom.functions.text import entity_hash, expand_tokens, sentences, strip
 from textloom.runtime import ship
 
 BUDGET, OVERLAP, LEAST_SURFACE = 200, 20, 2
+MOST_IN_PATTERN = 32
 BOUNDARY = re.compile(r"\b")
 
 
@@ -89,7 +91,7 @@ class SurfaceMatcher:
     """Finds surfaces between word boundaries, leftmost first and of these the longest, whatever the case.
 
     Only boundaries can start or end a surface, so a text is looked up at these, by the lengths that occur with the
-    character there.
+    character there; few surfaces are one pattern, the longest first.
     """
 
     def __init__(self, surfaces) -> None:
@@ -98,11 +100,15 @@ class SurfaceMatcher:
         for s in self.known:
             lengths.setdefault(s[0], set()).add(len(s))
         self.lengths = {c: sorted(some, reverse=True) for c, some in lengths.items()}
+        longest = sorted(self.known, key=len, reverse=True)
+        self.pattern = re.compile(rf"\b(?:{'|'.join(map(re.escape, longest))})\b") if 0 < len(longest) <= MOST_IN_PATTERN else None
 
     def find(self, text: str) -> list[tuple[int, int]]:
         low = text.lower()
         if len(low) != len(text):  # a letter whose lower case is longer stays as it is, so that places agree
             low = "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+        if self.pattern:
+            return [m.span() for m in self.pattern.finditer(low)]
         edges = [m.start() for m in BOUNDARY.finditer(low)]
         ends, out, at = set(edges), [], 0
         for start in edges:
@@ -116,6 +122,12 @@ class SurfaceMatcher:
         return out
 
 
+@lru_cache(maxsize=64)
+def matcher_of(surfaces: frozenset[str]) -> SurfaceMatcher:
+    """Many documents have the same surfaces."""
+    return SurfaceMatcher(surfaces)
+
+
 def tag(sentence_table: DataFrame, index: DataFrame, doc: str = "doc_id", key: str = "chunk_id", text: str = "text") -> DataFrame:
     """key, text, cuis, tuis, surface_forms of every sentence, from the surfaces of its document.
 
@@ -132,7 +144,7 @@ def tag(sentence_table: DataFrame, index: DataFrame, doc: str = "doc_id", key: s
             out = []
             for held, surfaces in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
                 known = {s["surface"]: (s["cui"], s["tuis"]) for s in surfaces or ()}
-                matcher = SurfaceMatcher(known)
+                matcher = matcher_of(frozenset(known))
                 for s in held:
                     low = s["text"] or ""
                     hits = sorted({low[a:b].lower() for a, b in matcher.find(low)} & known.keys()) if known else []
